@@ -226,6 +226,15 @@ def to_nanomolar(number: Column, unit: Column) -> Column:
     return F.when(unit["kind"] == "molar", molar).when(unit["kind"] == "log", log)
 
 
+def printed_quantities(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
+    """``key, number, nm`` of a printed value with its own or its field's unit; both may be null."""
+    folded = rows.select(key, fold(F.col(value)).alias("t"), F.trim(fold(F.col(unit))).alias("u"))
+    parsed = folded.select(key, "u", *[c.alias(n) for n, c in parse_printed(F.col("t")).items()])
+    aliases = alias_dictionary(_phrases(parsed, "rest", "u"))
+    joined = _with_unit(_with_unit(parsed, aliases, "rest", "by_text"), aliases, "u", "by_unit")
+    return joined.select(key, "number", to_nanomolar(F.col("number"), F.coalesce(F.col("by_text"), F.col("by_unit"))).alias("nm"))
+
+
 def literature_quantities(rows: DataFrame) -> DataFrame:
     """``value_id, nm, normalized_value_nm`` of extracted values.
 
@@ -252,14 +261,14 @@ def literature_quantities(rows: DataFrame) -> DataFrame:
 
 
 def database_quantities(rows: DataFrame) -> DataFrame:
-    """``activity_id, nm, normalized_value_nm`` of activities; ``units`` prevails over the assay description."""
+    """``activity_id, nm, kind, normalized_value_nm`` of activities; ``units`` prevails over the assay description."""
     folded = rows.select(
         "activity_id", "normalized_value_nm", F.col("value_num").alias("number"), F.trim(fold(F.col("units"))).alias("u"), F.trim(fold(F.col("assay_description"))).alias("a"),
     ).where(F.col("number").isNotNull() & ~F.isnan("number"))
     aliases = alias_dictionary(_phrases(folded, "u", "a"))
     joined = _with_unit(_with_unit(folded, aliases, "u", "by_unit"), aliases, "a", "by_assay")
     unit = F.coalesce(F.col("by_unit"), F.col("by_assay"))
-    return joined.select("activity_id", to_nanomolar(F.col("number"), unit).alias("nm"), "normalized_value_nm")
+    return joined.select("activity_id", to_nanomolar(F.col("number"), unit).alias("nm"), unit["kind"].alias("kind"), "normalized_value_nm")
 
 
 def wrong(nm: Column, stored: Column, tolerance: float = 0.01) -> Column:

@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayweave.llm import confusables, encoding_repair, packing, splits, tokens
+from assayweave.llm import confusables, encoding_repair, entity_match, packing, splits, tokens
 from assayweave.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of records and activities that report the same measurement."""
+    return p1_matches(spark, folder).select("id", "activity_id")
+
+
+def p1_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with their confidence."""
+    return entity_match.match_entities(table(spark, folder, "records"), table(spark, folder, "chembl_activity"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Rows whose present split parts their group."""
     return splits.parted_rows(table(spark, folder, "release_papers"))
@@ -67,6 +77,8 @@ def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "p1_found": p1_found,
+    "p1_matches": p1_matches,
     "p5_found": p5_found,
     "p5_splits": p5_splits,
     "p6_found": p6_found,

@@ -75,7 +75,7 @@ def group_spearman(df: DataFrame, keys: list[str], group: str, y: str, pred: str
     rows = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull() & F.col(group).isNotNull())
     by = [*keys, group]
     ranked = rows.select(*by, average_rank(F.col(y), by).alias("__a"), average_rank(F.col(pred), by).alias("__b"))
-    per = ranked.groupBy(*by).agg(F.count("*").alias("__n"), F.corr("__a", "__b").alias("__r"), (F.min("__a") != F.max("__a")).alias("__va"), (F.min("__b") != F.max("__b")).alias("__vb"))
+    per = ranked.groupBy(*by).agg(F.count("*").alias("__n"), (F.covar_pop("__a", "__b") / F.nullif(F.stddev_pop("__a") * F.stddev_pop("__b"), F.lit(0.0))).alias("__r"), (F.min("__a") != F.max("__a")).alias("__va"), (F.min("__b") != F.max("__b")).alias("__vb"))
     kept = per.where((F.col("__n") >= least) & F.col("__va") & F.col("__vb"))
     rho = (F.sum(F.col("__r") * F.col("__n")) / F.sum("__n")).alias("rho")
     return kept.groupBy(*keys).agg(rho, F.count("*").alias("groups")) if keys else kept.agg(rho, F.count("*").alias("groups"))

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from assayweave.plans import queries_measure, queries_search
+
+QUERIES: dict = {**queries_search.QUERIES, **queries_measure.QUERIES}
+SQL: dict[str, str] = {**queries_search.SQL, **queries_measure.SQL}

@@ -78,7 +78,7 @@ def parse_value(raw: Column, unit: Column) -> Column:
     for name, n in UNIT_POWERS.items():
         power = F.when(final == name, n).otherwise(power)
     relation = F.when(good, canonical_relation(part(1)))
-    missing = F.lower(F.trim(text)).isin(*MISSING_TOKENS)
+    missing = F.lower(F.regexp_replace(text, r"(?U)^\s+|\s+$", "")).isin(*MISSING_TOKENS)
     flags = F.array_compact(
         F.array(
             F.when(own.isNotNull() & unit.isNotNull() & (unit != "") & (own != unit), "cell_unit_overrides_header"),

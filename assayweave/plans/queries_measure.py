@@ -39,8 +39,8 @@ _JOIN = rf"([0-9]){_BLANK}+([0-9]{{3}})([^0-9]|$)"
     "q AS (SELECT *, coalesce(own, unit) AS u, CASE coalesce(own, unit) WHEN 'pM' THEN 0.001 WHEN 'nM' THEN 1.0 WHEN 'µM' THEN 1000.0 WHEN 'mM' THEN 1000000.0 WHEN 'M' THEN 1000000000.0 END AS f FROM p) "
     "SELECT value_id, CAST(replace(num, ',', '') AS double) AS value, CASE WHEN num IS NULL THEN NULL WHEN rel = '' THEN '=' WHEN rel = '≤' THEN '<=' WHEN rel = '≥' THEN '>=' WHEN rel = '≈' THEN '~' ELSE rel END AS relation, "
     "CASE WHEN num IS NULL THEN unit ELSE u END AS unit, round(CAST(replace(num, ',', '') AS double) * f, 9) AS nm, CAST(replace(unc, ',', '') AS double) AS uncertainty, "
-    "array_to_string(list_filter([CASE WHEN own IS NOT NULL AND unit IS NOT NULL AND unit <> '' AND own <> unit THEN 'cell_unit_overrides_header' END, "
-    "CASE WHEN num IS NULL AND lower(trim(coalesce(value_text, ''))) IN ('', 'nd', 'n.d.', 'na', 'n/a', '-', '–', '—') THEN 'missing_value' WHEN num IS NULL THEN 'unparsed_value' END, "
+    rf"array_to_string(list_filter([CASE WHEN own IS NOT NULL AND unit IS NOT NULL AND unit <> '' AND own <> unit THEN 'cell_unit_overrides_header' END, "
+    rf"CASE WHEN num IS NULL AND lower(regexp_replace(coalesce(value_text, ''), '^{_BLANK}+|{_BLANK}+$', '', 'g')) IN ('', 'nd', 'n.d.', 'na', 'n/a', '-', '–', '—') THEN 'missing_value' WHEN num IS NULL THEN 'unparsed_value' END, "
     "CASE WHEN num IS NOT NULL AND f IS NULL THEN 'missing_unit' END, CASE WHEN num IS NOT NULL AND rel NOT IN ('', '=') THEN 'qualified_value' END], lambda x: x IS NOT NULL), ';') AS flags FROM q"
 )
 def q_parse_values(spark: SparkSession, folder: str) -> DataFrame:
@@ -355,7 +355,7 @@ def q_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.poisson_bootstrap(_predictions(spark, folder), "release_id", "y", "pred", replicates=100)
 
 
-@query(f"WITH {LATEST} SELECT target_key, molecule_id, round(median(p), 3) AS p, count(*) AS n, min(nullif(pub_year, 0)) AS year FROM (SELECT *, round(9 - log10(normalized_value_nm), 3) AS p FROM a0 WHERE normalized_value_nm > 0 AND validity IS NULL AND replace(coalesce(relation, '='), '''', '') = '=') GROUP BY ALL")
+@query(f"WITH {LATEST} SELECT target_key, molecule_id, CAST(round(CAST(median(p) AS DECIMAL(18, 6)), 3) AS double) AS p, count(*) AS n, min(nullif(pub_year, 0)) AS year FROM (SELECT *, round(9 - log10(normalized_value_nm), 3) AS p FROM a0 WHERE normalized_value_nm > 0 AND validity IS NULL AND replace(coalesce(relation, '='), '''', '') = '=') GROUP BY ALL")
 def q_training_table(spark: SparkSession, folder: str) -> DataFrame:
     """Training rows: median, count and earliest year of each molecule and task."""
     relation = parsing.clean_relation(F.col("relation"))

@@ -75,13 +75,13 @@ def bag_counts(predictions: DataFrame, gold: DataFrame, keys: list[str]) -> Data
     """``keys, predicted, expected, tp, fp, fn`` of two bags; one full join of their counts."""
     a = predictions.groupBy(*keys).agg(F.count("*").alias("predicted"))
     b = gold.groupBy(*keys).agg(F.count("*").alias("expected"))
-    renamed = b.select(*[F.col(k).alias(f"__{k}") for k in keys], "expected")
+    renamed = b.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "expected")
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
     zero = F.lit(0).cast("long")
     both = a.join(renamed, same, "full").select(
-        *[F.coalesce(k, f"__{k}").alias(k) for k in keys], F.coalesce("predicted", zero).alias("predicted"), F.coalesce("expected", zero).alias("expected")
+        *[F.coalesce(k, f"__key_{k}").alias(k) for k in keys], F.coalesce("predicted", zero).alias("predicted"), F.coalesce("expected", zero).alias("expected")
     )
     least = F.least("predicted", "expected")
     return both.withColumns({"tp": least, "fp": F.col("predicted") - least, "fn": F.col("expected") - least})
@@ -139,12 +139,12 @@ def error_count(row: dict) -> int:
 def bag_residue(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` beyond the copies ``right`` has of their key; earlier copies are used up first."""
     numbered = left.withColumn("__copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*left.columns)))
-    used = right.groupBy(*keys).agg(F.count("*").alias("__n"))
-    renamed = used.select(*[F.col(k).alias(f"__{k}") for k in keys], "__n")
+    used = right.groupBy(*keys).agg(F.count("*").alias("__copies"))
+    renamed = used.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__copies")
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return numbered.join(renamed, same, "left").where(F.col("__copy") > F.coalesce("__n", F.lit(0))).select(*left.columns)
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    return numbered.join(renamed, same, "left").where(F.col("__copy") > F.coalesce("__copies", F.lit(0))).select(*left.columns)
 
 
 def _close(a: float, b: float) -> bool:

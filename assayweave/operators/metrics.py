@@ -139,7 +139,7 @@ def noise_floor(a: DataFrame, b: DataFrame, keys: list[str], x: str, y: str) ->
 
 def training_table(activities: DataFrame, keys: list[str], p: str, year: str) -> DataFrame:
     """``keys, p, n, year``: median with three decimals, count, earliest stated year."""
-    return activities.groupBy(*keys).agg(F.round(F.median(p), 3).alias("p"), F.count("*").alias("n"), F.min(F.when(F.col(year) != 0, F.col(year))).alias("year"))
+    return activities.groupBy(*keys).agg(F.round(F.median(p).cast("decimal(18,6)"), 3).cast("double").alias("p"), F.count("*").alias("n"), F.min(F.when(F.col(year) != 0, F.col(year))).alias("year"))
 
 
 def running_average(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:

@@ -18,7 +18,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_nanomolar(spark: SparkSession, folder: str) -> DataFrame:
-    """Every row's quantity in nM, null where no conversion exists."""
+    """The quantity in nM of every row that states one number, null where no conversion exists."""
     a = units.literature_quantities(table(spark, folder, "llm_extract"))
     b = units.database_quantities(table(spark, folder, "chembl_activity"))
     rows = a.selectExpr("'llm_extract' tab", "value_id row_id", "nm")

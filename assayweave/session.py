@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -24,6 +25,15 @@ def build_session(app: str = "assayweave", master: str = "local[*]", **conf: str
     return builder.getOrCreate()
 
 
+def show_package(spark: SparkSession) -> None:
+    """Lets the Python workers find this package where the driver found it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    there = spark.sparkContext.environment
+    paths = there.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        there["PYTHONPATH"] = os.pathsep.join(p for p in (paths, root) if p)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 

@@ -13,11 +13,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayweave.functions.textfold import fold
+from assayweave.session import settle
 
 # Power of ten that takes each prefix to nM.
 PREFIXES = {"f": -6, "p": -3, "n": 0, "u": 3, "m": 6, "": 9}
@@ -119,7 +121,10 @@ def weighted_distance(a: str, b: str) -> float:
     return row[-1]
 
 
+#: A misspelt spelling has at least so many characters, shares this part of its bigrams
+#: with the entry, and is no further from it than this part of the entry's length.
 LEAST_FUZZY = 5
+LEAST_SHARED = 0.6
 MOST_DISTANCE = 0.2
 
 
@@ -142,14 +147,16 @@ def alias_dictionary(phrases: DataFrame) -> DataFrame:
                         rows.append((phrase, place, power, key))
             yield pd.DataFrame(rows, columns=["phrase", "place", "shift", "key"])
 
-    spelled = phrases.mapInPandas(cut, "phrase string, place int, shift int, key string")
+    # few rows, but each takes time: spread over all tasks, and worked out once for its two readers
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spelled = settle(phrases.repartition(tasks).mapInPandas(cut, "phrase string, place int, shift int, key string"), "spelled")
     aliases = _resolve(spark, spelled.select("key").distinct())
     best = (
         spelled.join(aliases, "key")
         .groupBy("phrase")
         .agg(F.min_by(F.struct("kind", (F.col("power") + F.col("shift")).alias("power")), F.struct("place", "distance")).alias("u"))
     )
-    return best.select("phrase", "u.kind", "u.power")
+    return settle(best.select("phrase", "u.kind", "u.power"), "aliases")
 
 
 def _resolve(spark: SparkSession, keys: DataFrame) -> DataFrame:
@@ -159,26 +166,32 @@ def _resolve(spark: SparkSession, keys: DataFrame) -> DataFrame:
         [(gram, entry, len(grams(entry)), kind, power) for entry, kind, power in entries for gram in grams(entry)],
         "gram string, entry string, entry_grams int, kind string, power int",
     )
+    known = spark.createDataFrame(entries, "entry string, kind string, power int")
+    exact = keys.join(F.broadcast(known), F.col("key") == F.col("entry")).groupBy("key").agg(F.min(F.struct("kind", "power")).alias("b"))
+    exact = exact.select("key", "b.kind", "b.power", F.lit(0.0).alias("distance"))
+    # only long spellings that are no entry themselves can be misspelt ones
+    rest = keys.join(exact.select("key"), "key", "left_anti").where(F.length("key") >= LEAST_FUZZY)
     padded = F.concat(F.lit("^"), "key", F.lit("$"))
     of_key = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
-    probed = keys.withColumn("own", of_key).select("key", F.size("own").alias("key_grams"), F.explode("own").alias("gram"))
+    probed = rest.withColumn("own", of_key).select("key", F.size("own").alias("key_grams"), F.explode("own").alias("gram"))
     near = (
         probed.join(F.broadcast(index), "gram")
         .groupBy("key", "entry", "kind", "power")
         .agg(F.count("*").alias("shared"), F.first("key_grams").alias("key_grams"), F.first("entry_grams").alias("entry_grams"))
-        .where((F.col("key") == F.col("entry")) | (2 * F.col("shared") >= 0.5 * (F.col("key_grams") + F.col("entry_grams"))))
+        .where(2 * F.col("shared") >= LEAST_SHARED * (F.col("key_grams") + F.col("entry_grams")))
     )
 
-    @F.pandas_udf("double")
-    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([weighted_distance(x, y) for x, y in zip(a, b)], dtype=float)
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            far = np.array([weighted_distance(a, b) for a, b in zip(pdf["key"], pdf["entry"])], dtype=float)
+            yield pdf.assign(distance=far)[far <= MOST_DISTANCE * pdf["entry"].str.len().to_numpy(dtype=float)]
 
-    exact = F.col("key") == F.col("entry")
-    checked = near.withColumn("distance", F.when(exact, F.lit(0.0)).otherwise(distance("key", "entry")))
-    close = (F.length("key") >= LEAST_FUZZY) & (F.col("distance") <= MOST_DISTANCE * F.length("entry"))
-    kept = checked.where(exact | close)
-    best = kept.groupBy("key").agg(F.min(F.struct("distance", "entry", "kind", "power")).alias("b"))
-    return best.select("key", "b.kind", "b.power", "b.distance")
+    # few pairs, but each takes time: spread over all tasks; a map, which no filter is pushed through
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = near.select("key", "entry", "kind", "power").repartition(tasks)
+    close = pairs.mapInPandas(verify, "key string, entry string, kind string, power int, distance double")
+    best = close.groupBy("key").agg(F.min(F.struct("distance", "entry", "kind", "power")).alias("b"))
+    return exact.unionByName(best.select("key", "b.kind", "b.power", "b.distance"))
 
 
 # The printed value: relation, log prefix, number, power of ten, deviation, rest.
@@ -236,28 +249,27 @@ def printed_quantities(rows: DataFrame, key: str, value: str, unit: str) -> Data
 
 
 def literature_quantities(rows: DataFrame) -> DataFrame:
-    """``value_id, nm, normalized_value_nm`` of extracted values.
+    """``value_id, nm, normalized_value_nm`` of extracted values that print one number.
 
     The number is the one printed in ``value_text``; its own unit prevails over the unit
-    field, that over the header.  ``nm`` is null for ranges, alternatives, missing values,
-    percentages, mass per volume and where no unit is named.
+    field, that over the header.  Ranges, alternatives and missing values have no row; ``nm`` is null
+    for percentages, mass per volume and where no unit is named.
     """
     folded = rows.select(
         "value_id", "normalized_value_nm", fold(F.col("value_text")).alias("t"), F.trim(fold(F.col("unit"))).alias("u"), F.trim(fold(F.col("column_header"))).alias("h"),
     )
     parsed = folded.select("value_id", "normalized_value_nm", "u", "h", *[c.alias(n) for n, c in parse_printed(F.col("t")).items()])
-    # without a number nothing can be converted, whatever the unit is
-    numbered = parsed.where(F.col("number").isNotNull())
+    # a digit after the number, other than in the unit's own spelling, is a range or an alternative
+    single = ~F.coalesce(F.regexp_replace("rest", UNIT_DIGITS, ""), F.lit("")).rlike(r"\d")
+    # without a single number nothing can be converted, whatever the unit is
+    numbered = parsed.where(F.col("number").isNotNull() & single)
     aliases = alias_dictionary(_phrases(numbered, "rest", "u", "h"))
     joined = numbered
     for column, name in (("rest", "by_text"), ("u", "by_unit"), ("h", "by_header")):
         joined = _with_unit(joined, aliases, column, name)
     log = F.when(F.col("log").isNotNull(), F.struct(F.lit("log").alias("kind"), F.lit(0).alias("power")))
-    # a digit after the number, other than in the unit's own spelling, is a range or an alternative
-    single = ~F.coalesce(F.regexp_replace("rest", UNIT_DIGITS, ""), F.lit("")).rlike(r"\d")
     unit = F.coalesce(log, F.col("by_text"), F.col("by_unit"), F.col("by_header"))
-    nm = F.when(single, to_nanomolar(F.col("number"), unit))
-    return joined.select("value_id", nm.alias("nm"), "normalized_value_nm")
+    return joined.select("value_id", to_nanomolar(F.col("number"), unit).alias("nm"), "normalized_value_nm")
 
 
 def database_quantities(rows: DataFrame) -> DataFrame:

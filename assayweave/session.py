@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -48,17 +49,50 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_written: dict[str, SparkSession] = {}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below :func:`shared_dir`."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below :func:`shared_dir`; see :func:`clear`."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
 
 
 def settle(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, lineage cut.
 
-    A lost executor costs nothing that was written, unlike a cached block.
+    A lost executor costs nothing that was written, unlike a cached block.  The files
+    stay until :func:`discard`, :func:`clear` or the end of the driver's Python.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what :func:`settle` wrote for ``df``; nothing that is still to run may read it."""
+    path = getattr(df, "_settled_at", None)
+    if path in _written:
+        _delete(_written.pop(path), path)
+
+
+def clear() -> None:
+    """Delete all settled steps; their DataFrames can't be read any more."""
+    for path, spark in list(_written.items()):
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001  the session is gone, and with it the means to delete
+            pass
+        _written.pop(path, None)
+
+
+atexit.register(clear)

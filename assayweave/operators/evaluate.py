@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayweave.functions import parsing
+from assayweave.session import settle
 
 # What the evaluation accepts.
 EVALUATED_UNITS = {"nM": 0, "uM": 3, "µM": 3, "μM": 3, "mM": 6, "M": 9}
@@ -173,15 +174,11 @@ def greedy_matches(extracted: DataFrame, gold: DataFrame, group: list[str], own_
     return a.groupBy(*group).cogroup(b.groupBy(*group)).applyInPandas(match, f"{kinds}, own int, other int")
 
 
-def reachable(gold: DataFrame, printed: DataFrame, paper: str, value: str) -> Column:
-    """Column expression input: joined printed numbers of a paper; true if one of them is the gold value."""
-    return F.exists(F.coalesce(printed["numbers"], F.array().cast("array<double>")), lambda x: F.abs(x - gold[value]) <= 0.02 * F.abs(gold[value]))
-
-
 def reachable_share(gold: DataFrame, printed: DataFrame, paper: str = "pmcid", value: str = "value_nm") -> DataFrame:
     """``gold`` with ``reachable``: whether the number is printed in a table of its paper."""
     numbers = printed.select(paper, "text").withColumn("n", F.explode(parsing.number_set(F.col("text")))).select(F.col(paper).alias("__paper"), "n").distinct()
-    keyed_ = gold.withColumn("__row", F.monotonically_increasing_id())
+    # written once, so that both readers see the same numbers
+    keyed_ = settle(gold.withColumn("__row", F.monotonically_increasing_id()), "gold")
     near = F.abs(F.col("n") - F.col(value)) <= 0.02 * F.abs(F.col(value))
     hits = keyed_.join(numbers, F.col(paper) == F.col("__paper")).where(near).select("__row").distinct().withColumn("reachable", F.lit(True))
     return keyed_.join(hits, "__row", "left").withColumn("reachable", F.coalesce("reachable", F.lit(False))).drop("__row")

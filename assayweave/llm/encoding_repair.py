@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

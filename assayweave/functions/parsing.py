@@ -69,33 +69,39 @@ def parse_value(raw: Column, unit: Column) -> Column:
     """
     text = F.coalesce(raw, F.lit(""))
     candidate = F.regexp_replace(F.translate(text, "−μ", "-µ"), r"(?U)(?<=[0-9])[\s  ]+(?=[0-9]{3}(?:[^0-9]|$))", "")
-    part = lambda n: F.nullif(F.regexp_extract(candidate, VALUE, n), F.lit(""))
-    number, spread = part(2), part(3)
-    good = number.isNotNull() & (_magnitude(number) <= MOST_MAGNITUDE)
-    own = F.translate(part(4), "uμ", "µµ")
-    final = F.when(good, F.coalesce(own, unit)).otherwise(F.coalesce(F.when(number.isNotNull(), own), unit))
-    power = F.lit(None).cast("int")
-    for name, n in UNIT_POWERS.items():
-        power = F.when(final == name, n).otherwise(power)
-    relation = F.when(good, canonical_relation(part(1)))
     missing = F.lower(F.regexp_replace(text, r"(?U)^\s+|\s+$", "")).isin(*MISSING_TOKENS)
-    flags = F.array_compact(
-        F.array(
-            F.when(own.isNotNull() & unit.isNotNull() & (unit != "") & (own != unit), "cell_unit_overrides_header"),
-            F.when(number.isNull() & missing, "missing_value"),
-            F.when((number.isNull() & ~missing) | (number.isNotNull() & ~good), "unparsed_value"),
-            F.when(good & power.isNull(), "missing_unit"),
-            F.when(good & (relation != "="), "qualified_value"),
+    # the pattern runs once: its groups come as one array, and the lambda binds that array
+    groups = F.split(F.regexp_replace(candidate, VALUE, "$1\u0001$2\u0001$3\u0001$4\u0001"), "\u0001")
+
+    def read(g: Column) -> Column:
+        part = lambda n: F.when(F.size(g) > 1, F.nullif(F.get(g, F.lit(n)), F.lit("")))
+        number, spread = part(1), part(2)
+        good = number.isNotNull() & (_magnitude(number) <= MOST_MAGNITUDE)
+        own = F.translate(part(3), "uμ", "µµ")
+        final = F.coalesce(F.when(number.isNotNull(), own), unit)
+        power = F.lit(None).cast("int")
+        for name, n in UNIT_POWERS.items():
+            power = F.when(final == name, n).otherwise(power)
+        relation = F.when(good, canonical_relation(part(0)))
+        flags = F.array_compact(
+            F.array(
+                F.when(own.isNotNull() & unit.isNotNull() & (unit != "") & (own != unit), "cell_unit_overrides_header"),
+                F.when(number.isNull() & missing, "missing_value"),
+                F.when((number.isNull() & ~missing) | (number.isNotNull() & ~good), "unparsed_value"),
+                F.when(good & power.isNull(), "missing_unit"),
+                F.when(good & (relation != "="), "qualified_value"),
+            )
         )
-    )
-    return F.struct(
-        F.when(good, _shifted(number, F.lit(0))).alias("value"),
-        relation.alias("relation"),
-        final.alias("unit"),
-        F.when(good, _shifted(number, power)).alias("normalized_value_nm"),
-        F.when(good, _shifted(spread, F.lit(0))).alias("uncertainty"),
-        flags.alias("flags"),
-    )
+        return F.struct(
+            F.when(good, _shifted(number, F.lit(0))).alias("value"),
+            relation.alias("relation"),
+            final.alias("unit"),
+            F.when(good, _shifted(number, power)).alias("normalized_value_nm"),
+            F.when(good, _shifted(spread, F.lit(0))).alias("uncertainty"),
+            flags.alias("flags"),
+        )
+
+    return F.get(F.transform(F.array(groups), read), F.lit(0))
 
 
 def unit_in(text: Column) -> Column:

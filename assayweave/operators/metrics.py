@@ -14,10 +14,12 @@ def percentiles(value: Column, shares: tuple[float, ...] = (0.1, 0.5, 0.9)) -> C
     return F.percentile(value, F.array(*map(F.lit, shares)))
 
 
-def upper_median(value: Column) -> Column:
-    """The middle value, the upper one of two: element n // 2 of the sorted values, counted from 0."""
-    ordered = F.sort_array(F.collect_list(value))
-    return F.get(ordered, F.floor(F.size(ordered) / 2).cast("int"))
+def upper_median(column: str) -> Column:
+    """The middle value, the upper one of two: element n // 2 of the sorted values, counted from 0.
+
+    An aggregate over value counts, combined before the shuffle; no group is gathered.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
 
 
 def upper_median_rows(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
@@ -147,9 +149,11 @@ def running_average(df: DataFrame, keys: list[str], value: str, order: list[str]
 
     Not a mean for three or more values; the order is part of the definition.
     """
-    items = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__v"))))
-    folded = F.aggregate(items, F.lit(None).cast("double"), lambda acc, x: F.when(acc.isNull(), x["__v"]).otherwise((acc + x["__v"]) / 2))
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(folded.alias(value))
+    window = Window.partitionBy(*keys)
+    placed = df.where(F.col(value).isNotNull()).withColumn("__i", F.row_number().over(window.orderBy(*order, value))).withColumn("__n", F.count("*").over(window))
+    # unrolled: the last value weighs a half, the one before a quarter, the first as much as the second
+    weight = F.pow(F.lit(0.5), F.when(F.col("__i") == 1, F.col("__n") - 1).otherwise(F.col("__n") - F.col("__i") + 1).cast("double"))
+    return placed.groupBy(*keys).agg(F.sum(F.col(value) * weight).alias(value))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -147,9 +147,10 @@ def compound_profile(rows: DataFrame, name: str, per_target: int = 5) -> DataFra
     paper = F.col("source") == "paper"
     hits = rows.where((paper & F.contains(label, F.lit(text))) | (~paper & ((label == text) | (molecule == text))))
     exact = usable(True)
+    hits = hits.withColumns({"__paper": F.when(paper & exact, F.col("value_nm")), "__database": F.when(~paper & exact, F.col("value_nm"))})
     stats = hits.groupBy("target").agg(
         F.count_if(paper).alias("paper_values"), F.count_if(~paper).alias("database_values"),
-        metrics.upper_median(F.when(paper & exact, F.col("value_nm"))).alias("paper_median"), metrics.upper_median(F.when(~paper & exact, F.col("value_nm"))).alias("database_median"),
+        metrics.upper_median("__paper").alias("paper_median"), metrics.upper_median("__database").alias("database_median"),
     )
     order = Window.partitionBy("target", "source").orderBy(F.coalesce("value_nm", F.lit(0.0)), "id")
     shown = hits.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_target)

@@ -10,12 +10,16 @@ is fed back, which undoes text encoded twice.
 *Single byte*: bytes of one legacy code page shown in another (``FŸr``).  No byte
 structure tells these, so a second stage compares each word holding a non-ASCII
 character with the word that another pair of code pages would give: a word is garbled if
-its counterpart is far more frequent over all documents.
+its counterpart is far more frequent over all documents or over all distinct texts.  Where
+much of the input is damaged alike, frequencies don't tell; there a word is garbled if no
+language writes it so and its counterpart is known, or if its pair of code pages is proven
+by other words of the same text.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -254,48 +258,127 @@ def counterparts(word: str) -> tuple[tuple[int, str], ...]:
     return tuple(out)
 
 
+#: Signs that stand between letters in correct texts.
+_JOINERS = _TYPOGRAPHIC - set("‚„†‡‰‹›°§®©¶¬¦¤€™") | set("−×→←↔⇌≤≥≈~‐‑\xad⁄′″")
+
+
+@lru_cache(maxsize=10_000)
+def _letter(ch: str) -> str:
+    """Script of a letter, ``?`` of a micro sign and the like, empty for other characters."""
+    if ch.isascii():
+        return "LATIN" if ch.isalpha() else ""
+    if unicodedata.category(ch) not in ("Lu", "Ll", "Lt", "Lo"):
+        return ""
+    script = unicodedata.name(ch, "?").split()[0]
+    return script if script in ("LATIN", "CYRILLIC", "GREEK") else "?"
+
+
+@lru_cache(maxsize=100_000)
+def implausible(word: str) -> bool:
+    """Whether no language writes ``word`` so, whatever the other texts hold.
+
+    That is a sign between letters; a Latin capital beyond ASCII behind a small letter; a small
+    Cyrillic letter before five capitals (fewer are units and kinds of RNA); a Cyrillic letter beside
+    a Latin one; a Greek letter between small Latin ones; four Latin letters in a row beyond ASCII.
+    """
+    scripts = [_letter(ch) for ch in word]
+    beyond = 0
+    for i, (ch, script) in enumerate(zip(word, scripts)):
+        beyond = beyond + 1 if script == "LATIN" and ch > "\x7f" else 0
+        if beyond == 4:
+            return True
+        before, after = scripts[i - 1] if i else "", scripts[i + 1] if i + 1 < len(word) else ""
+        if {before, script} == {"LATIN", "CYRILLIC"}:
+            return True
+        if not before or ch < "\x80":
+            continue
+        if script == "LATIN" and word[i - 1].islower() and ch.isupper():
+            return True
+        if script == "CYRILLIC" and word[i - 1].islower() and len(word[i : i + 5]) == 5 and all(x == "CYRILLIC" for x in scripts[i : i + 5]) and word[i : i + 5].isupper():
+            return True
+        if script == "GREEK" and before == after == "LATIN" and word[i - 1].islower() and word[i + 1].islower():
+            return True
+        if after and not script and ch not in _JOINERS and unicodedata.category(ch)[0] not in "MNC":
+            return True
+    return False
+
+
 def _seen(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per document and distinct context, and one without context per document with sure damage."""
+    """One row per document and distinct context, and one without context per document with sure damage.
+
+    ``copy`` is a hash of the text, which documents with the same text share.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys, found, words = [], [], []
-            for own, value in zip(pdf[key], pdf[text]):
+            keys, found, words, copies = [], [], [], []
+            for own, value, copy in zip(pdf[key], pdf[text], pdf["copy"]):
                 if not value or value.isascii():
                     continue
                 repaired, hit = repair_multibyte(value)
                 if hit or has_control(value):
-                    keys.append(own), found.append(None), words.append(None)
+                    keys.append(own), found.append(None), words.append(None), copies.append(copy)
                 here = contexts(repaired)
                 keys += [own] * len(here)
                 found += here.keys()
                 words += here.values()
-            yield pd.DataFrame({key: pd.array(keys, dtype=pdf[key].dtype), "context": found, "word": words})
+                copies += [copy] * len(here)
+            yield pd.DataFrame({key: pd.array(keys, dtype=pdf[key].dtype), "context": found, "word": words, "copy": copies})
 
     kind = documents.schema[key].dataType.simpleString()
-    return documents.select(key, text).mapInPandas(run, f"{key} {kind}, context string, word string")
+    return documents.select(key, text, F.xxhash64(text).alias("copy")).mapInPandas(run, f"{key} {kind}, context string, word string, copy long")
 
 
-def garbled_contexts(seen: DataFrame, least: int = 3, ratio: int = 4) -> DataFrame:
-    """``context, word, fixed`` of the contexts whose counterpart is far more frequent over all documents.
+def suspects(seen: DataFrame, least: int = 3, ratio: int = 4) -> DataFrame:
+    """``context, pair, fixed, n_texts, m, sure`` of the contexts whose counterpart occurs in ``least`` documents.
 
+    ``sure`` ones are garbled wherever they occur: the counterpart is far more frequent, over
+    documents or over distinct texts, or the word is implausible and the counterpart is not.
     Counts are combined before the shuffle; only distinct contexts are compared.
     """
-    counted = seen.where(F.col("context").isNotNull()).groupBy("context", "word").agg(F.count("*").alias("n"))
+    counted = seen.where(F.col("context").isNotNull()).groupBy("context", "word").agg(F.count("*").alias("n"), F.countDistinct("copy").alias("n_texts"))
 
     def offer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for context, word, n in zip(pdf["context"], pdf["word"], pdf["n"]):
+            for context, word, n, n_texts in zip(pdf["context"], pdf["word"], pdf["n"], pdf["n_texts"]):
                 before, after = context[: context.index("|")], context[context.rindex("|") + 1 :]
-                rows += [(context, word, n, other, f"{before}|{other}|{after}") for _, other in counterparts(word)]
-            yield pd.DataFrame(rows, columns=["context", "word", "n", "fixed", "target"])
+                odd = implausible(word)
+                rows += [(context, n, n_texts, pair, other, f"{before}|{other}|{after}", odd - implausible(other)) for pair, other in counterparts(word)]
+            yield pd.DataFrame(rows, columns=["context", "n", "n_texts", "pair", "fixed", "target", "odder"])
+
+    offered = counted.mapInPandas(offer, "context string, n long, n_texts long, pair int, fixed string, target string, odder int")
+    known = counted.select(F.col("context").alias("target"), F.col("n").alias("m"), F.col("n_texts").alias("m_texts"))
+    frequent = (F.col("m") >= ratio * F.col("n")) | ((F.col("m_texts") >= least) & (F.col("m_texts") >= ratio * F.col("n_texts")))
+    met = offered.join(known, "target").where(F.col("m") >= least).withColumn("sure", frequent | (F.col("odder") > 0))
+    return met.where(F.col("sure") | (F.col("odder") == 0)).select("context", "pair", "fixed", "n_texts", "m", "sure")
 
-    offered = counted.mapInPandas(offer, "context string, word string, n long, fixed string, target string")
-    known = counted.select(F.col("context").alias("target"), F.col("n").alias("m"))
-    better = offered.join(known, "target").where((F.col("m") >= least) & (F.col("m") >= ratio * F.col("n")))
-    best = better.groupBy("context", "word").agg(F.max(F.struct("m", "fixed")).alias("b"))
-    return best.select("context", "word", "b.fixed")
+
+def garbled_contexts(seen: DataFrame, least: int = 3, ratio: int = 4) -> DataFrame:
+    """``context, copy, fixed`` of the garbled contexts; ``copy`` is null where a context is garbled in every text.
+
+    A suspect that is not sure is garbled in the texts in which a sure one shows the same pair
+    of code pages, and in every text if those are at least half of the texts that hold it.
+    """
+    found = settle(suspects(seen, least, ratio), "suspects")
+    texts = seen.where(F.col("context").isNotNull()).select("context", "copy").distinct()
+    proven = texts.join(found.where("sure").select("context", "pair").distinct(), "context").select("copy", "pair").distinct()
+    backed = texts.join(found.where(~F.col("sure")), "context").join(proven, ["copy", "pair"])
+    backed = settle(backed.select("context", "copy", "fixed", "n_texts", "m"), "backed").distinct()
+    mostly = backed.groupBy("context", "fixed").agg(F.count("*").alias("k"), F.first("n_texts").alias("n_texts"), F.first("m").alias("m")).where(2 * F.col("k") >= F.col("n_texts"))
+    ranked = found.where("sure").select("context", F.lit(1).alias("rank"), "m", "fixed").unionByName(mostly.select("context", F.lit(0).alias("rank"), "m", "fixed"))
+    always = ranked.groupBy("context").agg(F.max(F.struct("rank", "m", "fixed")).alias("b")).select("context", F.lit(None).cast("long").alias("copy"), "b.fixed")
+    here = backed.join(always.select("context"), "context", "left_anti").groupBy("context", "copy").agg(F.max(F.struct("m", "fixed")).alias("b"))
+    return settle(always.unionByName(here.select("context", "copy", "b.fixed")), "garbled")
+
+
+def _fixes(seen: DataFrame, key: str) -> DataFrame:
+    """``key, context, fixed`` of the garbled contexts of each document."""
+    garbled = garbled_contexts(seen)
+    rows = seen.where(F.col("context").isNotNull())
+    always = rows.join(garbled.where(F.col("copy").isNull()).drop("copy"), "context")
+    here = rows.join(garbled.where(F.col("copy").isNotNull()), ["context", "copy"])
+    return always.select(key, "context", "fixed").unionByName(here.select(key, "context", "fixed"))
 
 
 def find_garbled(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,7 +388,7 @@ def find_garbled(documents: DataFrame, key: str = "doc_id", text: str = "text")
     """
     seen = settle(_seen(documents, key, text), "contexts")
     sure = seen.where(F.col("context").isNull()).select(key)
-    likely = seen.join(garbled_contexts(seen).select("context"), "context", "left_semi").select(key)
+    likely = _fixes(seen, key).select(key)
     return sure.unionByName(likely).distinct()
 
 
@@ -317,8 +400,7 @@ def restore(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     seen = settle(_seen(documents, key, text), "contexts")
     hits = seen.where(F.col("context").isNull()).select(key).distinct()
-    fixes = seen.where(F.col("context").isNotNull()).join(garbled_contexts(seen).select("context", "fixed"), "context")
-    per = fixes.groupBy(key).agg(F.collect_list(F.struct("context", "fixed")).alias("fixes"))
+    per = _fixes(seen, key).groupBy(key).agg(F.collect_list(F.struct("context", "fixed")).alias("fixes"))
     wanted = hits.join(per, key, "full")
     kind = documents.schema[key].dataType.simpleString()
 

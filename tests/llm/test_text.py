@@ -193,3 +193,18 @@ def test_single_byte_damage_and_restoration(spark):
     restored = {r["doc_id"]: (r["restored"], r["complete"]) for r in encoding_repair.restore(df).collect()}
     assert restored[103] == ("Fine. " + CLEAN[3], True) and restored[102][0] == CLEAN[2] and restored[100][0] == CLEAN[0] and not restored[104][1]
     assert encoding_repair.find_garbled(df.limit(0)).count() == 0
+
+
+def test_single_byte_damage_of_many_documents(spark):
+    swap = lambda t, written, shown: t.encode(written).decode(shown)
+    good = [(n, f"{CLEAN[0]} Nr. {n}", "x") for n in range(20)]
+    copies = [(100 + n, swap(CLEAN[0], "cp1252", "mac_roman"), "x") for n in range(15)]
+    third = [(200 + n, swap(f"{CLEAN[2]} {n}", "cp1251", "cp1252"), "x") for n in range(10)]
+    rest = [(300 + n, f"{CLEAN[2]} {n}", "x") for n in range(20)] + [(400, swap("Siehe Löslichkeit oben", "cp1252", "mac_roman"), "x")]
+    df = spark.createDataFrame(good + copies + third + rest, DOCS)
+    koi = [(500 + n, f"Серия РС-{n}; {swap('Вещество при 5 мкМ подтвердил', 'koi8_r', 'cp1251')}", "x") for n in range(10)]
+    df = df.unionByName(spark.createDataFrame(koi + [(600 + n, f"Вещество при 5 мкМ подтвердил мРНК {n}", "x") for n in range(15)], DOCS))
+    wanted = {r[0] for r in copies + third + koi} | {400}
+    assert {r["doc_id"] for r in encoding_repair.find_garbled(df).collect()} == wanted
+    restored = {r["doc_id"]: r["restored"] for r in encoding_repair.restore(df).collect()}
+    assert restored[107] == CLEAN[0] and restored[203] == f"{CLEAN[2]} 3" and restored[400] == "Siehe Löslichkeit oben"

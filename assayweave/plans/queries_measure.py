@@ -461,10 +461,9 @@ def q_number_sets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(r"SELECT doc_id, strpos(text, 'IC50') AS at, substr(text, greatest(1, strpos(text, 'IC50') - 40), 84) AS around FROM documents WHERE strpos(text, 'IC50') > 0")
 def q_context_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """Forty characters around a mention."""
+    """Forty characters around each mention (W9); the SQL twin has only the first mention of a text."""
     rows = table(spark, folder, "documents").where(F.instr("text", "IC50") > 0)
-    at = F.instr("text", "IC50")
-    return rows.select("doc_id", at.cast("long").alias("at"), F.substring("text", F.greatest(F.lit(1), at - 40), F.lit(84)).alias("around"))
+    return rows.select("doc_id", F.explode(enrich.mention_windows(F.col("text"), "IC50")).alias("m")).select("doc_id", "m.at", "m.around")
 
 
 @query(r"SELECT doc_id, regexp_matches(text, 'IC ?50|Ki\b') AND regexp_matches(text, '[nµu]M\b') AS potency FROM documents WHERE text IS NOT NULL")

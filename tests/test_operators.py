@@ -217,3 +217,11 @@ def test_releases(spark, records):
     assert got == {"r1": 8.0, "r2": 8.301, "r3": None, "r4": 8.699}
     calls = release.standardized(spark.createDataFrame([("a",), ("a",), (None,)], "s string"), "s", str.upper, "u")
     assert sorted(str(r["u"]) for r in calls.collect()) == ["A", "A", "None"]
+
+
+def test_windows_of_every_mention(spark):
+    text = "IC50 é " + "x" * 50 + "IC50IC50 end"
+    df = spark.createDataFrame([(1, text), (2, "none"), (3, None), (4, "IC50")], "k int, t string")
+    got = df.select("k", F.explode(enrich.mention_windows(F.col("t"), "IC50")).alias("m")).select("k", "m.at", "m.around").collect()
+    assert sorted((r["k"], r["at"]) for r in got) == [(1, 1), (1, 58), (1, 62), (4, 1)]
+    assert all(r["around"] == text[max(0, r["at"] - 41) :][:84] for r in got if r["k"] == 1)

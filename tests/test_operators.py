@@ -225,3 +225,13 @@ def test_windows_of_every_mention(spark):
     got = df.select("k", F.explode(enrich.mention_windows(F.col("t"), "IC50")).alias("m")).select("k", "m.at", "m.around").collect()
     assert sorted((r["k"], r["at"]) for r in got) == [(1, 1), (1, 58), (1, 62), (4, 1)]
     assert all(r["around"] == text[max(0, r["at"] - 41) :][:84] for r in got if r["k"] == 1)
+
+
+def test_bootstrap_query_takes_as_many_replicates_as_the_reference(monkeypatch):
+    from assayweave.plans import queries_measure
+
+    taken = {}
+    monkeypatch.setattr(queries_measure, "_predictions", lambda spark, folder: None)
+    monkeypatch.setattr(metrics, "poisson_bootstrap", lambda *args, **options: taken.update(options))
+    queries_measure.q_bootstrap(None, "")
+    assert taken["replicates"] == 1000

@@ -222,7 +222,7 @@ def parse_printed(folded: Column) -> dict[str, Column]:
 def _phrases(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct non-null values of the columns."""
     return (
-        df.select(F.explode(F.array(*columns)).alias("phrase")).where(F.col("phrase").isNotNull() & (F.length("phrase") <= 400)).distinct()
+        df.select(F.explode(F.array(*columns)).alias("phrase")).where(F.col("phrase").isNotNull()).distinct()
     )
 
 

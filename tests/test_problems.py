@@ -161,3 +161,10 @@ def test_copies_edge_cases(spark):
     assert diff(empty, empty) == set() and diff(one, one) == set()
     assert diff(one, empty) == {("a", "only_l"), (None, "only_l")}
     assert diff(one, one.withColumn("v", F.lit(1.0)).withColumn("more", F.lit(1))) == {("a", "v"), (None, "v")}
+
+
+def test_units_of_long_phrases(spark):
+    long = "Inhibition of the enzyme after incubation with the compound, " * 10 + "reported in nM"
+    rows = spark.createDataFrame([(1, 5.0, 5000.0, None, long), (2, 5.0, 5.0, None, long)], "activity_id long, value_num double, normalized_value_nm double, units string, assay_description string")
+    got = {r["activity_id"]: r["nm"] for r in units.database_quantities(rows).collect()}
+    assert got == {1: 5.0, 2: 5.0}

@@ -101,9 +101,9 @@ def q_record_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def q_content_id(spark: SparkSession, folder: str) -> DataFrame:
-    """One id for the content of a table, whatever its order."""
-    rows = table(spark, folder, "targets").select(scalars.row_hash(F.col("target_key"), F.col("target_name"), F.col("target_class")).alias("h"))
-    return rows.agg(scalars.content_id(F.collect_list("h")).alias("dataset_id"))
+    """One id for the content of all records and columns, whatever their order."""
+    rows = table(spark, folder, "records")
+    return rows.agg(scalars.content_sum(*map(F.col, sorted(rows.columns))).alias("dataset_id"))
 
 
 _FOLD = "list_reduce(list_prepend(CAST(0 AS bigint), list_transform(range(1, 41), lambda i: CAST(strpos('0123456789abcdef', substr(sha1({0}), i, 1)) - 1 AS bigint))), lambda a, d: (a * 16 + d) % {1})"

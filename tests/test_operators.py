@@ -235,3 +235,16 @@ def test_bootstrap_query_takes_as_many_replicates_as_the_reference(monkeypatch):
     monkeypatch.setattr(metrics, "poisson_bootstrap", lambda *args, **options: taken.update(options))
     queries_measure.q_bootstrap(None, "")
     assert taken["replicates"] == 1000
+
+
+def test_content_id_of_all_records_and_columns(spark, tmp_path):
+    from assayweave.plans import queries_measure
+
+    def of(rows, name):
+        spark.createDataFrame(rows, "id long, a string, b double").write.parquet(str(tmp_path / name / "records.parquet"))
+        return queries_measure.q_content_id(spark, str(tmp_path / name)).first()["dataset_id"]
+
+    rows = [(n, None if n % 3 else str(n), n / 7) for n in range(50)]
+    first = of(rows, "first")
+    assert len(first) == 16 and of(rows[::-1], "turned") == first
+    assert len({first, of([(*rows[0][:2], 1.0), *rows[1:]], "changed"), of(rows + rows[:1], "copied"), of(rows[1:], "fewer")}) == 4

@@ -220,18 +220,36 @@ def _shape(token: str) -> str:
     return "N" if not core.isascii() else "0" if core[0].isdigit() else "L" if core.isalpha() and len(core) > 9 else "W"
 
 
+_TOKEN = re.compile(r"\S+")
+_INNER = re.compile(f"[^{re.escape(_EDGE)}]+")
+#: Longer chains without blanks are taken apart at their punctuation.
+LONG_CHAIN = 60
+
+
+def _tokens(text: str) -> list[tuple[int, str]]:
+    """``(start, token)`` between blanks; the words of a long chain are tokens of their own."""
+    out = []
+    for found in _TOKEN.finditer(text):
+        token = found[0]
+        if token.isascii() or len(token.strip(_EDGE)) <= LONG_CHAIN:
+            out.append((found.start(), token))
+        else:
+            out += [(found.start() + piece.start(), piece[0]) for piece in _INNER.finditer(token)]
+    return out
+
+
 def contexts(text: str) -> dict[str, str]:
     """Context of each distinct non-ASCII word: ``{context: word}``.
 
     A context is ``before|word|after``; around long words both sides are left empty.
     """
     out: dict[str, str] = {}
-    tokens = text.split()
+    tokens = [token for _, token in _tokens(text)]
     for i, token in enumerate(tokens):
         if token.isascii():
             continue
         core = _DIGITS.sub("0", token.strip(_EDGE))
-        if not core or len(core) > 60:
+        if not core:
             continue
         if sum(map(str.isalpha, core)) >= LONG_WORD:
             out[f"|{core}|"] = core
@@ -417,29 +435,25 @@ def restore(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return documents.select(key, text).join(wanted, key).mapInPandas(run, f"{key} {kind}, restored string, complete boolean")
 
 
-_TOKEN = re.compile(r"\S+")
-
-
 def replace_words(text: str, fixes: dict[str, str]) -> str:
     """``text`` with the words of garbled contexts replaced; digits, which contexts fold, are kept."""
     if not fixes:
         return text
-    tokens = list(_TOKEN.finditer(text))
+    tokens = _tokens(text)
     out, at = [], 0
-    for i, found in enumerate(tokens):
-        token = found[0]
+    for i, (place, token) in enumerate(tokens):
         if token.isascii():
             continue
         bare = token.strip(_EDGE)
         core = _DIGITS.sub("0", bare)
-        before = _shape(tokens[i - 1][0]) if i else "-"
-        after = _shape(tokens[i + 1][0]) if i + 1 < len(tokens) else "-"
+        before = _shape(tokens[i - 1][1]) if i else "-"
+        after = _shape(tokens[i + 1][1]) if i + 1 < len(tokens) else "-"
         fixed = fixes.get(f"|{core}|") or fixes.get(f"{before}|{core}|{after}")
         if fixed is None or not bare:
             continue
         numbers = iter(_DIGITS.findall(bare))
         fixed = re.sub("0", lambda _: next(numbers, "0"), fixed)
-        start = found.start() + token.index(bare)
+        start = place + token.index(bare)
         out += [text[at:start], fixed]
         at = start + len(bare)
     return "".join(out) + text[at:]

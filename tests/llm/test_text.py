@@ -208,3 +208,10 @@ def test_single_byte_damage_of_many_documents(spark):
     assert {r["doc_id"] for r in encoding_repair.find_garbled(df).collect()} == wanted
     restored = {r["doc_id"]: r["restored"] for r in encoding_repair.restore(df).collect()}
     assert restored[107] == CLEAN[0] and restored[203] == f"{CLEAN[2]} 3" and restored[400] == "Siehe Löslichkeit oben"
+
+
+def test_words_of_long_chains_are_looked_at():
+    chain = "/".join(["plain"] * 12 + ["sŽlectivitŽ"] + ["tags"] * 5)
+    assert "|sŽlectivitŽ|" in encoding_repair.contexts(f"a {chain}, b")
+    fixed = encoding_repair.replace_words(f"a {chain}, b", {"|sŽlectivitŽ|": "sélectivité"})
+    assert fixed == f"a {chain}, b".replace("Ž", "é")

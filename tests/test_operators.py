@@ -248,3 +248,10 @@ def test_content_id_of_all_records_and_columns(spark, tmp_path):
     first = of(rows, "first")
     assert len(first) == 16 and of(rows[::-1], "turned") == first
     assert len({first, of([(*rows[0][:2], 1.0), *rows[1:]], "changed"), of(rows + rows[:1], "copied"), of(rows[1:], "fewer")}) == 4
+
+
+def test_name_segments_of_every_mention(spark):
+    text = "First line.\nThe reaction gave 4-aminobenzoic acid (5a) in part; then 2-chloro\nphenol ester (compound 5a) was used; x (5a)"
+    df = spark.createDataFrame([(text, "5a"), ("none here", "5a"), (None, "5a")], "t string, l string")
+    got = [r["s"] for r in df.select(enrich.all_name_segments(F.col("t"), F.col("l")).alias("s")).collect()]
+    assert got == [["4-aminobenzoic acid", "then 2-chloro\nphenol ester"], [], None]

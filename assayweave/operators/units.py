@@ -23,21 +23,22 @@ from assayweave.session import settle
 
 # Power of ten that takes each prefix to nM.
 PREFIXES = {"f": -6, "p": -3, "n": 0, "u": 3, "m": 6, "": 9}
-WORDS = {"femto": -6, "pico": -3, "nano": 0, "micro": 3, "milli": 6, "": 9}
+WORDS = {"femto": -6, "pico": -3, "nano": 0, "micro": 3, "milli": 6}
+AMOUNTS = ("mol", "mole", "moles")
+VOLUMES = ("/l", "l-1", "/liter", "/litre", "/dm3", "dm-3")
 LOGS = ("pic50", "pki", "pkd", "pec50", "-log(m)", "-log[m]", "-logm", "-log10(m)", "-log10m", "p[m]", "-logic50(m)", "-logki(m)", "-logkd(m)", "-logec50(m)")
 MASSES = tuple(f"{a}g{sep}{b}" for a in ("p", "n", "u", "m", "k", "") for sep, b in (("/", "ml"), ("/", "l"), ("/", "dl"), ("/", "ul"), ("/", "kg"), ("", "ml-1"), ("", "l-1")))
 PERCENTS = ("%", "percent", "%inhibition", "%inh", "%control")
 
 
 def lexicon() -> list[tuple[str, str, int]]:
-    """``(spelling, kind, power of ten to nM)``; a constant of about a hundred entries."""
+    """``(spelling, kind, power of ten to nM)``; a constant of some 250 entries."""
     rows = []
     for prefix, power in PREFIXES.items():
-        forms = (f"{prefix}m", f"{prefix}mol/l", f"{prefix}moll-1", f"{prefix}mol/dm3", f"{prefix}moldm-3", f"{prefix}moles/l", f"{prefix}mol/liter", f"{prefix}mol/litre")
-        rows += [(form, "molar", power) for form in forms]
-        rows += [(f"{prefix}mol/ml", "molar", power + 3)]
-    for word, power in WORDS.items():
-        rows += [(f"{word}molar", "molar", power), (f"{word}moles/l", "molar", power), (f"{word}mol/l", "molar", power)]
+        rows += [(f"{prefix}m", "molar", power)]
+    for prefix, power in (*PREFIXES.items(), *WORDS.items()):
+        rows += [(f"{prefix}{amount}{volume}", "molar", power) for amount in AMOUNTS for volume in VOLUMES]
+        rows += [(f"{prefix}mol/ml", "molar", power + 3), (f"{prefix}molar", "molar", power)]
     rows += [(s, "log", 0) for s in LOGS] + [(s, "mass", 0) for s in MASSES] + [(s, "percent", 0) for s in PERCENTS]
     return list(dict.fromkeys(rows))
 
@@ -49,8 +50,8 @@ _LOG_PHRASE = re.compile(r"(?:^|[^a-z0-9])(-\s*log(?:10)?)\s*(?:ic-?50|ki|kd|ec5
 
 
 def squash(spelling: str) -> str:
-    """A spelling without what never tells units apart: blanks, dots, product signs, carets."""
-    return re.sub(r"[\s.^'*·_]+", "", spelling)
+    """A spelling without what never tells units apart: blanks, dots, product signs, carets; ``per`` is a slash."""
+    return re.sub(r"[\s.^'*·_]+", "", re.sub(r"(?<=[a-z])\s+per\s+(?=[a-z])", "/", spelling))
 
 
 def split_power(spelling: str) -> tuple[int, str]:
@@ -59,6 +60,21 @@ def split_power(spelling: str) -> tuple[int, str]:
     return (int(found[1]), spelling[found.end() :]) if found else (0, spelling)
 
 
+_BRACKETS = re.compile(r"[(\[]([^()\[\]]+)[)\]]")
+_NOTE = re.compile(r"\s*[(\[][^()\[\]]*[)\]]")
+
+
+def _endings(text: str) -> list[str]:
+    """What follows the last of some words and signs, and the last words."""
+    out = []
+    for mark in (r"\bin\s+", r"\bare\s+", r",\s*", r"\s/\s*", r"\|\s*"):
+        parts = re.split(mark, text)
+        if len(parts) > 1:
+            out.append(parts[-1])
+    words = text.split()
+    return out + [" ".join(words[-k:]) for k in (3, 2, 1) if len(words) > k]
+
+
 def candidates(phrase: str) -> list[str]:
     """Spellings that may be the unit of a folded phrase, likeliest first."""
     text = _TAIL.sub("", phrase.strip())
@@ -71,13 +87,11 @@ def candidates(phrase: str) -> list[str]:
     if head:
         return [head[1]]
     out.append(text)
-    out += reversed(re.findall(r"[(\[]([^()\[\]]+)[)\]]", text))
-    for mark in (r"\bin\s+", r"\bare\s+", r",\s*", r"\s/\s*", r"\|\s*"):
-        parts = re.split(mark, text)
-        if len(parts) > 1:
-            out.append(parts[-1])
-    words = text.split()
-    out += [" ".join(words[-k:]) for k in (3, 2, 1) if len(words) > k]
+    out += reversed(_BRACKETS.findall(text))
+    out += _endings(text)
+    bare = _NOTE.sub(" ", text).strip()
+    if bare != text:  # a unit may be followed by a bracketed note
+        out += [bare, *_endings(bare)]
     cleaned = (re.sub(r"\s*(?:scale|units?)\s*$", "", c).strip(" ,;:()") if not c.startswith("-log") else c for c in out)
     return list(dict.fromkeys(c for c in cleaned if c))
 
@@ -128,13 +142,19 @@ LEAST_SHARED = 0.6
 MOST_DISTANCE = 0.2
 
 
+def most_grams() -> int:
+    """Bigrams beyond which no spelling can share :data:`LEAST_SHARED` with any entry: a consequence, no cut."""
+    longest = max(len(grams(entry)) for entry, _, _ in lexicon())
+    return int(longest * (2 - LEAST_SHARED) / LEAST_SHARED)
+
+
 def alias_dictionary(phrases: DataFrame) -> DataFrame:
     """``(phrase, kind, power)`` of the distinct folded ``phrase`` values that name a unit.
 
     Spellings are distinct before the index is probed, and the index has as many rows
     as the constant lexicon has bigrams, so the join stays small whatever the rows are.
     """
-    spark = phrases.sparkSession
+    spark, most = phrases.sparkSession, most_grams()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -143,7 +163,7 @@ def alias_dictionary(phrases: DataFrame) -> DataFrame:
                 for place, spelling in enumerate(candidates(phrase)):
                     power, rest = split_power(spelling)
                     key = squash(rest)
-                    if key and len(key) <= 40:
+                    if key and len(grams(key)) <= most:
                         rows.append((phrase, place, power, key))
             yield pd.DataFrame(rows, columns=["phrase", "place", "shift", "key"])
 
@@ -207,16 +227,25 @@ VALUE = (
 UNIT_DIGITS = r"(?:l|dm)\s*\^?\s*-\s*[13](?!\d)|dm3|log10"
 
 
-def parse_printed(folded: Column) -> dict[str, Column]:
-    """Columns ``number`` (double, null unless one number is printed), ``log`` and ``rest`` of a folded value."""
-    part = lambda n: F.regexp_extract(folded, VALUE, n)
-    digits = part(2)
-    grouped = digits.rlike(r"^[1-9]\d{0,2}([, ]\d{3})+([.,]\d+)?$")
-    plain = F.when(grouped, F.regexp_replace(F.regexp_replace(digits, r"[, ](?=\d{3})", ""), ",", ".")).otherwise(F.regexp_replace(digits, ",", "."))
-    exponent = F.regexp_extract(part(4), r"10\s*\^?\s*([+-]?\d{1,2})$", 1)
-    base = F.concat(plain, part(3)).try_cast("double")
-    number = F.when(exponent == "", base).otherwise(F.concat(plain, F.lit("e"), exponent).try_cast("double"))
-    return {"number": F.when(folded.isNotNull() & (digits != ""), number), "log": F.when(part(1) != "", F.lit("log")), "rest": F.nullif(part(6), F.lit(""))}
+def parse_printed(folded: Column) -> Column:
+    """Struct ``number`` (double, null unless one number is printed), ``log`` and ``rest`` of a folded value.
+
+    The pattern runs once: its groups come as one array, which a lambda binds.
+    """
+    groups = F.split(F.regexp_replace(folded, VALUE, "\u0001".join(f"${n}" for n in range(1, 7))), "\u0001")
+
+    def read(g: Column) -> Column:
+        whole = F.size(g) == 6
+        part = lambda n: F.when(whole, F.get(g, F.lit(n - 1))).otherwise("")
+        digits = part(2)
+        grouped = digits.rlike(r"^[1-9]\d{0,2}([, ]\d{3})+([.,]\d+)?$")
+        plain = F.when(grouped, F.regexp_replace(F.regexp_replace(digits, r"[, ](?=\d{3})", ""), ",", ".")).otherwise(F.regexp_replace(digits, ",", "."))
+        exponent = F.regexp_extract(part(4), r"10\s*\^?\s*([+-]?\d{1,2})$", 1)
+        base = F.concat(plain, part(3)).try_cast("double")
+        number = F.when(exponent == "", base).otherwise(F.concat(plain, F.lit("e"), exponent).try_cast("double"))
+        return F.struct(F.when(digits != "", number).alias("number"), F.when(part(1) != "", F.lit("log")).alias("log"), F.nullif(part(6), F.lit("")).alias("rest"))
+
+    return F.get(F.transform(F.array(groups), read), F.lit(0))
 
 
 def _phrases(df: DataFrame, *columns: str) -> DataFrame:
@@ -242,7 +271,7 @@ def to_nanomolar(number: Column, unit: Column) -> Column:
 def printed_quantities(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
     """``key, number, nm`` of a printed value with its own or its field's unit; both may be null."""
     folded = rows.select(key, fold(F.col(value)).alias("t"), F.trim(fold(F.col(unit))).alias("u"))
-    parsed = folded.select(key, "u", *[c.alias(n) for n, c in parse_printed(F.col("t")).items()])
+    parsed = folded.select(key, "u", parse_printed(F.col("t")).alias("p")).select(key, "u", "p.*")
     aliases = alias_dictionary(_phrases(parsed, "rest", "u"))
     joined = _with_unit(_with_unit(parsed, aliases, "rest", "by_text"), aliases, "u", "by_unit")
     return joined.select(key, "number", to_nanomolar(F.col("number"), F.coalesce(F.col("by_text"), F.col("by_unit"))).alias("nm"))
@@ -258,11 +287,11 @@ def literature_quantities(rows: DataFrame) -> DataFrame:
     folded = rows.select(
         "value_id", "normalized_value_nm", fold(F.col("value_text")).alias("t"), F.trim(fold(F.col("unit"))).alias("u"), F.trim(fold(F.col("column_header"))).alias("h"),
     )
-    parsed = folded.select("value_id", "normalized_value_nm", "u", "h", *[c.alias(n) for n, c in parse_printed(F.col("t")).items()])
+    parsed = folded.select("value_id", "normalized_value_nm", "u", "h", parse_printed(F.col("t")).alias("p")).select("value_id", "normalized_value_nm", "u", "h", "p.*")
     # a digit after the number, other than in the unit's own spelling, is a range or an alternative
     single = ~F.coalesce(F.regexp_replace("rest", UNIT_DIGITS, ""), F.lit("")).rlike(r"\d")
     # without a single number nothing can be converted, whatever the unit is
-    numbered = parsed.where(F.col("number").isNotNull() & single)
+    numbered = settle(parsed.where(F.col("number").isNotNull() & single), "numbered")  # narrow, and read twice
     aliases = alias_dictionary(_phrases(numbered, "rest", "u", "h"))
     joined = numbered
     for column, name in (("rest", "by_text"), ("u", "by_unit"), ("h", "by_header")):
@@ -277,6 +306,7 @@ def database_quantities(rows: DataFrame) -> DataFrame:
     folded = rows.select(
         "activity_id", "normalized_value_nm", F.col("value_num").alias("number"), F.trim(fold(F.col("units"))).alias("u"), F.trim(fold(F.col("assay_description"))).alias("a"),
     ).where(F.col("number").isNotNull() & ~F.isnan("number"))
+    folded = settle(folded, "folded")
     aliases = alias_dictionary(_phrases(folded, "u", "a"))
     joined = _with_unit(_with_unit(folded, aliases, "u", "by_unit"), aliases, "a", "by_assay")
     unit = F.coalesce(F.col("by_unit"), F.col("by_assay"))

@@ -26,6 +26,21 @@ def build_session(app: str = "assayweave", master: str = "local[*]", **conf: str
     return builder.getOrCreate()
 
 
+#: Bytes of input for each core below which a table counts as small.
+SMALL = 32 << 20
+
+
+def spread(df: DataFrame, source: DataFrame) -> DataFrame:
+    """``df`` on all cores if ``source``, the table it comes from, is small, else as it lies.
+
+    A small table lies in a few splits, so that costly work on it would keep few cores
+    busy.  The rows of a larger one are never moved for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(2 * cores) if size < SMALL * cores else df
+
+
 def show_package(spark: SparkSession) -> None:
     """Lets the Python workers find this package where the driver found it."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -38,13 +53,15 @@ def show_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that setting is absent (tests on one machine) a local folder is
-    made and set, so that later calls see the same one.
+    Only where that setting is absent and Spark runs on one machine, as in tests, a local
+    folder is made and set, so that later calls see the same one; on a cluster it is an error.
     """
     found = spark.sparkContext.getCheckpointDir()
     if found:
         return found
     stated = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not stated and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(stated or tempfile.mkdtemp(prefix="assayweave-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -22,7 +22,8 @@ QUANTITIES = [
     ("3 nanomloar", None, None, 3.0), ("１２ ｎＭ", None, None, 12.0), ("1​2", "nМ", None, 12.0), ("12", "mm", None, 12e6), ("12", "M", None, 12e9),
     ("17% at 50 µM", "nM", None, None), ("12", "%", "IC50 (nM)", None), ("12", None, "inhibition, %", None), ("12", "ug/mL", "IC50 (nM)", None), ("9-18", "nM", None, None), ("9 - 18 nM", None, None, None),
     ("2.0 or 6.0", "nM", None, None), ("2.0 or 6.0 nM", None, None, None), ("NA", "nM", None, None), ("", "nM", None, None), (None, "nM", None, None), ("12", None, None, None), ("12", "-", "T", None),
-    ("inactive", "nM", "IC50 (nM)", None),
+    ("inactive", "nM", "IC50 (nM)", None), ("12 nmol per liter", None, None, 12.0), ("12", "pmol per litre", None, 0.012), ("12", "uM (mean of three)", None, 12000.0), ("12", "nanomoles per liter", None, 12.0),
+    ("12", None, "Assay of the wild-type enzyme, " * 20 + "IC50 (nM)", 12.0), ("12", "x" * 3000, "IC50 (nM)", 12.0), ("12", None, "Potency in µM (n = 3, mean)", 12000.0),
 ]
 
 

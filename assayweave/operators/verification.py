@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayweave.operators import classify
-from assayweave.operators.article_tables import located_headers
+from assayweave.operators.article_tables import locate
 from assayweave.operators.registry import RULES, Rule
 from assayweave.session import settle
 
@@ -18,12 +18,20 @@ def verify(values: DataFrame, grids: DataFrame, rules: Iterable[Rule] = RULES) -
 
     ``values``: value_id, pmcid, table_id, compound_label, target_key, value_text, value,
     unit, value_nm, kind.  ``grids``: pmcid, table_id, caption, grid, heads, one row a table.
-    Rules run on distinct headers and captions only, whatever the number of values.
+    Values are located by joins with the cells, so no grid is copied; rules run on distinct
+    headers and captions only, whatever the number of values.
     """
     known = tuple(rules)
-    joined = values.join(grids, ["pmcid", "table_id"], "left")
-    headers = located_headers("grid", F.coalesce("heads", F.lit(1)), "compound_label", "value_text")
-    located = settle(joined.withColumn("located", headers).withColumn("has_table", F.col("grid").isNotNull()).drop("grid"), "located")
+    place = ["pmcid", "table_id", "compound_label", "value_text"]
+    tables = settle(grids, "grids")
+    found = locate(values.select(*place), tables)
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(f"v.{c}").eqNullSafe(F.col(f"f.{c}"))
+    joined = values.alias("v").join(found.alias("f"), same, "left").select("v.*", "f.headers")
+    captions = tables.select("pmcid", "table_id", "caption", F.lit(True).alias("has_table"))
+    joined = joined.join(captions, ["pmcid", "table_id"], "left").withColumn("has_table", F.coalesce("has_table", F.lit(False)))
+    located = settle(joined.withColumn("located", F.coalesce("headers", F.array().cast("array<string>"))).drop("headers"), "located")
     shown = located.select("value_id", "target_key", F.posexplode("located").alias("pos", "header"))
     names = settle(shown.select("header").distinct().withColumn("names", classify.named_targets(F.col("header"), known)), "names")
     # the first header that names the claimed target, else the first
@@ -33,8 +41,9 @@ def verify(values: DataFrame, grids: DataFrame, rules: Iterable[Rule] = RULES) -
     heads = classify.classify_columns(placed.where(F.col("header").isNotNull()).select("header", "caption").distinct(), rules=known)
     heads = settle(heads.select(F.col("header").alias("__h"), F.col("caption").alias("__c"), F.col("target").alias("by_header")), "heads")
     captions = placed.where(F.col("caption").isNotNull()).select(F.col("caption").alias("__cap")).distinct()
-    captions = captions.withColumn("caption_names", classify.named_targets(F.col("__cap"), known)).withColumn("by_caption", classify.caption_function(known)("__cap"))
-    captions = settle(captions, "captions")
+    captions = captions.withColumn("caption_names", classify.named_targets(F.col("__cap"), known))
+    single = classify.caption_targets(captions, "__cap", known).withColumnRenamed("target", "by_caption")
+    captions = settle(captions.join(single, "__cap", "left"), "captions")
     full = placed.join(heads, (F.col("header") == F.col("__h")) & F.col("caption").eqNullSafe(F.col("__c")), "left").join(captions, F.col("caption") == F.col("__cap"), "left")
     ladder = classify.verification(
         F.col("value"), F.col("unit"), F.col("value_nm"), F.col("kind"), F.col("has_table"), F.col("target_key"), F.col("header"), F.col("caption"),

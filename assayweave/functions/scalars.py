@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def record_id(*parts: Column) -> Column:
     """First 20 hex digits of the SHA-256 of the parts joined by a slash."""
     return F.substring(F.sha2(F.concat_ws("/", *parts), 256), 1, 20)

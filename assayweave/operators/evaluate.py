@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayweave.functions import parsing
-from assayweave.session import settle
+from assayweave.functions import scalars
 
 # What the evaluation accepts.
 EVALUATED_UNITS = {"nM": 0, "uM": 3, "µM": 3, "μM": 3, "mM": 6, "M": 9}
@@ -148,40 +148,76 @@ def bag_residue(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     return numbered.join(renamed, same, "left").where(F.col("__copy") > F.coalesce("__copies", F.lit(0))).select(*left.columns)
 
 
-def _close(a: float, b: float) -> bool:
-    return abs(a - b) <= 0.02 * max(abs(b), 1e-12) or float(f"{a:.2g}") == float(f"{b:.2g}")
+#: Two values within this share of the second agree; so do those equal at two significant figures.
+TOLERANCE = 0.02
+
+
+def _reach(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of what agrees with each positive value, a little wider than need be.
+
+    Numbers with the same two figures lie within a twentieth of those figures.
+    """
+    figures = np.array([float(f"{x:.1e}") for x in v])
+    return np.minimum(v / (1 + TOLERANCE), 0.95 * figures) * (1 - 1e-9), np.maximum(v / (1 - TOLERANCE), 1.05 * figures) * (1 + 1e-9)
+
+
+def _agrees(a: float, b: float) -> bool:
+    return abs(a - b) <= TOLERANCE * max(abs(b), 1e-12) or f"{a:.1e}" == f"{b:.1e}"
 
 
 def greedy_matches(extracted: DataFrame, gold: DataFrame, group: list[str], own_order: list[str], gold_order: list[str], value: str = "value_nm") -> DataFrame:
     """``group, own, other``: positions of the pairs that one-to-one tolerance matching makes.
 
     Extracted values take, in order, the first unused gold value within tolerance, so the
-    order columns are part of the result.  Groups are one paper, target and endpoint.
+    order columns are part of the result.  Groups are one paper, target and endpoint; within
+    one, gold values are kept sorted and only those inside a value's reach are looked at, so
+    far-apart values never meet.  Values that aren't positive match nothing.
     """
-    numbered = lambda df, order: df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"), F.row_number().over(Window.partitionBy(*group).orderBy(*order)).alias("pos"))  # noqa: E731,E501
+    present = lambda df: df.where(F.col(value) > 0)
+    numbered = lambda df, order: present(df).select(*group, F.col(value).cast("double").alias("v"), F.row_number().over(Window.partitionBy(*group).orderBy(*order)).alias("pos"))  # noqa: E731,E501
     kinds = ", ".join(f"{c} {extracted.schema[c].dataType.simpleString()}" for c in group)
 
     def match(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        free = b.sort_values("pos")[["pos", "v"]].to_numpy().tolist()
-        rows = []
-        for pos, v in a.sort_values("pos")[["pos", "v"]].to_numpy():
-            at = next((i for i, (_, w) in enumerate(free) if _close(v, w)), None)
-            if at is not None:
-                rows.append((*key, int(pos), int(free.pop(at)[0])))
+        a, b = a.sort_values("pos"), b.sort_values(["v", "pos"])
+        sorted_v, pos, rows = b["v"].to_numpy(), b["pos"].to_numpy(), []
+        if len(a) and len(b):
+            low, high = _reach(a["v"].to_numpy())
+            first, last = np.searchsorted(sorted_v, low, "left"), np.searchsorted(sorted_v, high, "right")
+            # equal gold values are taken in order: the next free one of each is all that is looked at
+            starts = np.flatnonzero(np.r_[True, sorted_v[1:] != sorted_v[:-1]])
+            ends, run_of = np.r_[starts[1:], len(sorted_v)], np.zeros(len(sorted_v), dtype=int)
+            run_of[starts[1:]] = 1
+            run_of, following = run_of.cumsum(), starts.copy()
+            for own, v, i, j in zip(a["pos"], a["v"], first, last):
+                if i >= j:
+                    continue
+                runs = [r for r in range(run_of[i], run_of[j - 1] + 1) if following[r] < ends[r] and _agrees(v, sorted_v[starts[r]])]
+                if runs:
+                    best = min(runs, key=lambda r: pos[following[r]])
+                    rows.append((*key, int(own), int(pos[following[best]])))
+                    following[best] += 1
         return pd.DataFrame(rows, columns=[*group, "own", "other"])
 
     a, b = numbered(extracted, own_order), numbered(gold, gold_order)
     return a.groupBy(*group).cogroup(b.groupBy(*group)).applyInPandas(match, f"{kinds}, own int, other int")
 
 
-def reachable_share(gold: DataFrame, printed: DataFrame, paper: str = "pmcid", value: str = "value_nm") -> DataFrame:
-    """``gold`` with ``reachable``: whether the number is printed in a table of its paper."""
-    numbers = printed.select(paper, "text").withColumn("n", F.explode(parsing.number_set(F.col("text")))).select(F.col(paper).alias("__paper"), "n").distinct()
-    # written once, so that both readers see the same numbers
-    keyed_ = settle(gold.withColumn("__row", F.monotonically_increasing_id()), "gold")
-    near = F.abs(F.col("n") - F.col(value)) <= 0.02 * F.abs(F.col(value))
-    hits = keyed_.join(numbers, F.col(paper) == F.col("__paper")).where(near).select("__row").distinct().withColumn("reachable", F.lit(True))
-    return keyed_.join(hits, "__row", "left").withColumn("reachable", F.coalesce("reachable", F.lit(False))).drop("__row")
+def reachable_share(gold: DataFrame, numbers: DataFrame, paper: str = "pmcid", value: str = "value_nm") -> DataFrame:
+    """``gold`` with ``reachable``: whether the number is printed in a table of its paper.
+
+    ``numbers``: paper, n, the distinct printed numbers.  Both sides are cut into bands of
+    the logarithm wider than the tolerance; a value is joined with its own and the two
+    neighbouring bands of its paper, and only distinct values are joined.  Null papers and
+    values are not reachable; zero is reached by zero.
+    """
+    band = lambda c: F.when(c > 0, F.floor(F.log10(c) * 10)).otherwise(F.lit(-10_000)).cast("int")
+    printed = numbers.select(F.col(paper).alias("__paper"), F.col("n").cast("double").alias("n")).withColumn("__band", band(F.col("n")))
+    wanted = gold.select(F.col(paper).alias("__paper"), F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    spread = wanted.withColumn("__band", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: band(F.col("__v")) + d)))
+    near = scalars.tolerant_equal(F.col("__v"), F.col("n"), F.greatest(F.abs("n"), F.lit(1e-12)), TOLERANCE)
+    hits = spread.join(printed, ["__paper", "__band"]).where(near).select("__paper", "__v").distinct().withColumn("reachable", F.lit(True))
+    joined = gold.join(hits, (F.col(paper) == F.col("__paper")) & (F.col(value).cast("double") == F.col("__v")), "left")
+    return joined.withColumn("reachable", F.coalesce("reachable", F.lit(False))).drop("__paper", "__v")
 
 
 def method_pool(rules: DataFrame, model: DataFrame, method: str) -> DataFrame:
@@ -189,10 +225,3 @@ def method_pool(rules: DataFrame, model: DataFrame, method: str) -> DataFrame:
     if method not in ("rules", "llm", "hybrid"):
         raise ValueError("method is rules, llm or hybrid")
     return {"rules": rules, "llm": model}.get(method) if method != "hybrid" else rules.unionByName(model, allowMissingColumns=True)
-
-
-def capped_examples(df: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
-    """The first ``n`` examples of each group, for reports."""
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("__rn") <= n).drop("__rn")
-
-

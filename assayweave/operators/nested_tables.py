@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayweave.session import shared_path
+from assayweave.operators.enrich import newest
+from assayweave.session import shared_path, spread
 
 TAGGED = "pmcid string, node_id int, parent_id int, payload string, tag string"
 SCHEMAS = {
@@ -153,16 +154,12 @@ def visit(pmcid: str | None, xml: str | None) -> Iterator[tuple[str, int, int |
 
 
 def latest_articles(articles: DataFrame) -> DataFrame:
-    """``pmcid, xml_text`` of the row with the latest ``fetched_at`` of each pmcid.
+    """``pmcid, xml_text`` of the row with the latest ``fetched_at`` of each pmcid; ties go to the greater text.
 
-    Only the small keys are shuffled to find the winners; rows that tie in time are
-    ordered by a hash of the text, and exact copies are left to the caller's distinct.
+    Only pmcids and times are aggregated; a text moves only if its pmcid repeats, or if too
+    many pmcids repeat for them to be sent to every executor.
     """
-    keyed = articles.select("pmcid", "fetched_at", "xml_text", F.xxhash64("xml_text").alias("h"))
-    best = keyed.groupBy("pmcid").agg(F.max(F.struct("fetched_at", "h")).alias("b"))
-    best = best.select(F.col("pmcid").alias("p"), F.col("b.fetched_at").alias("f"), F.col("b.h").alias("bh"))
-    same = F.col("pmcid").eqNullSafe(F.col("p")) & F.col("fetched_at").eqNullSafe(F.col("f")) & F.col("h").eqNullSafe(F.col("bh"))
-    return keyed.join(best, same, "left_semi").select("pmcid", "xml_text")
+    return newest(articles, "pmcid", "fetched_at", ["pmcid", "xml_text"])
 
 
 def shred(articles: DataFrame) -> DataFrame:
@@ -198,7 +195,7 @@ def flat_tables(articles: DataFrame) -> dict[str, DataFrame]:
     """The flat tables of the latest articles, by tag."""
     spark = articles.sparkSession
     path = shared_path(spark, "shred")
-    write_tagged(shred(latest_articles(articles)), path)
+    write_tagged(shred(spread(latest_articles(articles), articles)), path)
     return {tag: read_tag(spark, path, tag) for tag in SCHEMAS}
 
 

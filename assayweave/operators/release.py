@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from assayweave.functions import scalars
 from assayweave.operators import enrich
 
+# Fixed names and order: the columns of the paper release.
 PAPER_COLUMNS = (
-    "id pmcid doi pub_year table_id row_index target_column compound_label target_key measurement_type relation raw_value unit value_num value_nm p_value flags split"
+    "smiles inchikey scaffold split target uniprot target_name endpoint relation value_nm p_value reported_value reported_unit compound_label structure_method "
+    "pmcid doi year table_id row_index source_url source_sha256 review record_id"
 ).split()
+PAPER_SOURCE = "pmcid doi pub_year table_id row_index compound_label target_key measurement_type relation raw_value unit normalized_value_nm review_status".split()
+DATABASE_SOURCE = "molecule_id pref_name endpoint relation value_num units normalized_value_nm target_key document_id doi pub_year validity".split()
 DATABASE_COLUMNS = "activity_id molecule_id pref_name endpoint relation value_num units value_nm p_value target_key document_id doi pub_year split".split()
 
 
@@ -27,13 +31,51 @@ def structures_by_source(records: DataFrame, structures: DataFrame, fallback: Da
     )
 
 
-def paper_release(records: DataFrame, family: list[str] | None = None) -> DataFrame:
-    """Exact records of a family's targets as a flat table with p-value and split by compound."""
-    rows = records.where(F.col("normalized_value_nm") > 0)
+def paper_release(records: DataFrame, targets: DataFrame, structures: DataFrame, sources: DataFrame, family: list[str] | None = None, by: tuple[str, ...] = ("pmcid", "compound_label"), review: str = "ai_checked_transcription") -> DataFrame:
+    """Reviewed records with a structure and a value, as the flat table :data:`PAPER_COLUMNS`.
+
+    ``targets``: target_key, target_name, uniprot.  ``structures``: the columns ``by`` and
+    smiles, inchikey, scaffold, structure_method, one row a compound.  ``sources``: pmcid,
+    source_sha256, one row an article.  A record without structure or value has no row, one
+    without target or source row has nulls there.  The split is that of the scaffold.
+    """
+    rows = records.where((F.col("review_status") == "reviewed") & F.col("normalized_value_nm").isNotNull())
     if family is not None:
         rows = rows.where(F.col("target_key").isin(*family))
-    out = rows.withColumn("value_nm", F.col("normalized_value_nm")).withColumn("p_value", scalars.p_value(F.col("value_nm"), F.col("relation")))
-    return out.withColumn("split", scalars.scaffold_split(F.lower(F.col("compound_label")))).select(*PAPER_COLUMNS)
+    full = rows.join(structures, list(by)).join(targets, "target_key", "left").join(sources, "pmcid", "left")
+    value = F.col("normalized_value_nm")
+    return full.select(
+        "smiles", "inchikey", "scaffold", scalars.scaffold_split(F.col("scaffold")).alias("split"), F.col("target_key").alias("target"), "uniprot", "target_name",
+        F.col("measurement_type").alias("endpoint"), "relation", value.alias("value_nm"), scalars.p_value(value, F.col("relation")).alias("p_value"),
+        F.col("raw_value").alias("reported_value"), F.col("unit").alias("reported_unit"), "compound_label", "structure_method", "pmcid", "doi",
+        F.coalesce(F.col("pub_year").cast("string"), F.lit("")).alias("year"), "table_id", "row_index",
+        F.concat(F.lit("https://pmc.ncbi.nlm.nih.gov/articles/"), "pmcid", F.lit("/")).alias("source_url"), "source_sha256", F.lit(review).alias("review"), F.col("id").alias("record_id"),
+    ).select(*PAPER_COLUMNS)
+
+
+def external_test(values: DataFrame, checked: DataFrame, tasks: DataFrame, structures: list[tuple[str, DataFrame]], keys: tuple[str, str] = ("pmcid", "compound_label")) -> tuple[DataFrame, DataFrame]:
+    """``(rows, reasons)``: verified exact values with a structure, and how many were left out why.
+
+    ``values``: value_id, target, endpoint, relation, value_nm, pmcid, compound_label.
+    ``checked``: value_id, status, secondary_source.  ``tasks``: target, endpoint of the
+    model.  ``structures``: (method, table of ``keys`` and smiles), best source first.  A
+    value is counted under the first gate that stops it.
+    """
+    known = tasks.select("target", "endpoint").distinct().withColumn("__task", F.lit(True))
+    joined = values.join(checked.select("value_id", "status", "secondary_source"), "value_id", "left").join(known, ["target", "endpoint"], "left")
+    smiles, method = [], []
+    for n, (name, side) in enumerate(structures):
+        joined = joined.join(side.select(*keys, F.col("smiles").alias(f"__s{n}")), list(keys), "left")
+        smiles.append(F.col(f"__s{n}"))
+        method.append(F.when(F.col(f"__s{n}").isNotNull(), name))
+    joined = joined.withColumn("smiles", F.coalesce(*smiles)).withColumn("structure_method", F.coalesce(*method))
+    gates = [
+        (~F.coalesce(F.col("status") == "verified", F.lit(False)), "not verified"), (F.coalesce("secondary_source", F.lit(False)), "review article"),
+        (~F.coalesce(F.col("relation") == "=", F.lit(False)), "bound"), (F.col("__task").isNull(), "enzyme/endpoint not in model"), (F.col("smiles").isNull(), "no structure"),
+    ]
+    gated = joined.withColumn("reason", enrich.elimination_reason(gates))
+    rows = gated.where(F.col("reason").isNull()).select("value_id", "target", "endpoint", "compound_label", "smiles", "structure_method", "value_nm", scalars.p_value(F.col("value_nm"), F.col("relation")).alias("p"), "pmcid")
+    return rows, gated.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def database_release(activities: DataFrame) -> DataFrame:

@@ -19,19 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SIDE = "__side__"
-
-
-def latest_rows(df: DataFrame, key: str, version: str) -> DataFrame:
-    """One row per ``key``: the one with the greatest ``version``.
+from assayweave.operators.enrich import newest
 
-    A null version is older than any other.  Rows that tie are ordered by their
-    fields, so the choice never depends on the input order.  Repeats are combined
-    before the shuffle, so a key that holds a third of the rows sends one row a task.
-    """
-    rest = [c for c in df.columns if c not in (key, version)]
-    best = F.max(F.struct(version, *rest)).alias("__best__")
-    return df.groupBy(key).agg(best).select(key, *[F.col("__best__")[c].alias(c) for c in (version, *rest)])
+_SIDE = "__side__"
 
 
 def _comparable(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -71,7 +61,7 @@ def snapshot_diff(
     """
     fields = [c for c in left.columns if c in right.columns and c not in (key, version)]
     sides = [
-        _comparable(latest_rows(df.select(key, version, *fields), key, version), fields).withColumn(_SIDE, F.lit(n).cast("byte"))
+        _comparable(newest(df, key, version, [key, version, *fields]), fields).withColumn(_SIDE, F.lit(n).cast("byte"))
         for n, df in enumerate((left, right))
     ]
     both = sides[0].unionByName(sides[1]).drop(version).repartitionByRange(key).sortWithinPartitions(key, _SIDE)

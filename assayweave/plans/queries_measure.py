@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayweave.functions import parsing, scalars
-from assayweave.operators import article_tables, classify, enrich, evaluate, metrics, nested_tables, release, verification
+from assayweave.operators import article_scan, article_tables, classify, enrich, evaluate, metrics, nested_tables, release, verification
 from assayweave.plans.queries_search import LATEST, activities_of, records_of
+from assayweave.session import settle, spread
 from assayweave.sources import readers
 from assayweave.sources.tables import table
 
@@ -175,16 +176,15 @@ def q_elimination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT target_key, count(*) FILTER (unit = 'M' OR normalized_value_nm IS NULL OR normalized_value_nm <= 0 OR normalized_value_nm < 1e-4 OR normalized_value_nm > 1e8) AS implausible, count(*) AS n FROM llm_extract GROUP BY 1")
 def q_plausibility(spark: SparkSession, folder: str) -> DataFrame:
-    """Implausible values by target."""
-    nm = F.col("normalized_value_nm")
-    bad = F.coalesce(F.col("unit") == "M", F.lit(False)) | nm.isNull() | (nm <= 0) | (nm < 1e-4) | (nm > 1e8)
+    """Implausible values and all values by target (P15, the counts of A24)."""
+    bad = classify.implausible(F.col("normalized_value_nm"), F.col("unit"))
     return table(spark, folder, "llm_extract").groupBy("target_key").agg(F.count_if(bad).alias("implausible"), F.count("*").alias("n"))
 
 
 @query(f"WITH {LATEST} SELECT target_key, count(*) AS n, round(median(normalized_value_nm), 6) AS median_nm FROM r0 WHERE measurement_type = 'IC50' AND relation = '=' AND normalized_value_nm > 0 AND len(list_filter(coalesce(flags, []), lambda f: f NOT IN ('missing_assay_context', 'target_from_caption'))) = 0 GROUP BY 1")
 def q_exact_potency(spark: SparkSession, folder: str) -> DataFrame:
     """Exact unblocked potencies of one endpoint (P10, A4)."""
-    rows = records_of(spark, folder)
+    rows = records_of(spark, folder, "target_key measurement_type normalized_value_nm relation flags")
     keep = enrich.exact_potency(F.col("measurement_type"), "IC50", F.col("normalized_value_nm"), F.col("relation"), F.coalesce("flags", F.array().cast("array<string>")))
     return rows.where(keep).groupBy("target_key").agg(F.count("*").alias("n"), F.round(F.median("normalized_value_nm"), 6).alias("median_nm"))
 
@@ -200,9 +200,9 @@ _CHECK = (
 
 def _checked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     name = lambda c: F.lower(F.trim(c))
-    records = records_of(spark, folder).where((F.col("normalized_value_nm") > 0) & (F.col("relation") == "="))
+    records = records_of(spark, folder, "target_key compound_label measurement_type normalized_value_nm relation").where((F.col("normalized_value_nm") > 0) & (F.col("relation") == "="))
     own = records.select("id", "target_key", name(F.col("compound_label")).alias("name"), F.upper("measurement_type").alias("kind"), "normalized_value_nm")
-    theirs = enrich.reference_filter(activities_of(spark, folder))
+    theirs = enrich.reference_filter(activities_of(spark, folder, "target_key pref_name endpoint relation value_num units validity"))
     theirs = theirs.select("target_key", name(F.col("pref_name")).alias("name"), F.upper(F.regexp_replace("endpoint", r"[\s_-]|app", "")).alias("kind"), "value_num")
     return own, enrich.crosscheck(own, theirs, ["target_key", "name", "kind"])
 
@@ -223,15 +223,15 @@ def q_crosscheck_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {LATEST} SELECT target_key, lower(pref_name) AS name, count(*) AS n, round(median(value_num), 9) AS median_nm, min(value_num) AS min_nm, max(value_num) AS max_nm FROM a0 WHERE units = 'nM' AND pref_name IS NOT NULL GROUP BY ALL")
 def q_compound_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics of the same compound."""
-    rows = activities_of(spark, folder).where((F.col("units") == "nM") & F.col("pref_name").isNotNull()).withColumn("name", F.lower("pref_name"))
+    rows = activities_of(spark, folder, "target_key pref_name value_num units").where((F.col("units") == "nM") & F.col("pref_name").isNotNull()).withColumn("name", F.lower("pref_name"))
     return enrich.same_compound_statistics(rows, ["target_key", "name"]).withColumn("median_nm", F.round("median_nm", 9))
 
 
 @query(f"WITH {LATEST}, d AS (SELECT lower(pref_name) AS name, min(molecule_id) AS molecule_id FROM a0 WHERE pref_name IS NOT NULL GROUP BY 1) SELECT id, molecule_id FROM (SELECT id, lower(trim(regexp_replace(compound_label, '\\s*\\[[^\\]]*\\]', '', 'g'))) AS name FROM r0 WHERE regexp_matches(compound_label, '^[A-Z][a-z]+( \\[\\d+\\])?$')) JOIN d USING (name)")
 def q_identities(spark: SparkSession, folder: str) -> DataFrame:
     """Molecules of plain named labels, by the first candidate the dictionary knows."""
-    names = activities_of(spark, folder).where(F.col("pref_name").isNotNull()).groupBy(F.lower("pref_name").alias("name")).agg(F.min("molecule_id").alias("molecule_id"))
-    rows = records_of(spark, folder).where(F.col("compound_label").rlike(r"^[A-Z][a-z]+( \[\d+\])?$"))
+    names = activities_of(spark, folder, "pref_name molecule_id").where(F.col("pref_name").isNotNull()).groupBy(F.lower("pref_name").alias("name")).agg(F.min("molecule_id").alias("molecule_id"))
+    rows = records_of(spark, folder, "compound_label").where(F.col("compound_label").rlike(r"^[A-Z][a-z]+( \[\d+\])?$"))
     out = enrich.attach_identities(rows, names)
     return out.where(F.col("molecule").isNotNull()).select("id", "molecule.molecule_id")
 
@@ -268,7 +268,18 @@ def q_paper_tallies(spark: SparkSession, folder: str) -> DataFrame:
     return total.withColumn("pct", evaluate.percent(F.col("matched"), F.col("extracted")))
 
 
-@query()
+_IN_ORDER = "list(normalized_value_nm ORDER BY table_id NULLS FIRST, row_index NULLS FIRST, target_column NULLS FIRST, id NULLS FIRST, exported_at NULLS FIRST)"
+_GREEDY = "SELECT pmcid, target_key, measurement_type, {1} AS v FROM {0} WHERE normalized_value_nm > 0 AND measurement_type IS NOT NULL GROUP BY ALL"
+_CLOSE = "(abs(a[i + 1] - b[k]) <= 0.02 * greatest(abs(b[k]), 1e-12) OR printf('%.1e', a[i + 1]) = printf('%.1e', b[k]))"
+
+
+@query(
+    f"WITH RECURSIVE e AS ({_GREEDY.format('records', _IN_ORDER)}), g AS ({_GREEDY.format('records_mirror', _IN_ORDER)}), s AS (SELECT e.pmcid, e.target_key, e.measurement_type, e.v AS a, g.v AS b FROM e JOIN g USING (pmcid, target_key, measurement_type)), "
+    "m AS (SELECT pmcid, target_key, measurement_type, a, b, 0 AS i, CAST([] AS bigint[]) AS used, CAST(NULL AS bigint) AS hit FROM s UNION ALL "
+    "SELECT pmcid, target_key, measurement_type, a, b, i + 1, CASE WHEN h IS NULL THEN used ELSE list_append(used, h) END, h FROM (SELECT *, "
+    f"list_filter(range(1, len(b) + 1), lambda k: NOT list_contains(used, k) AND {_CLOSE})[1] AS h FROM m WHERE i < len(a))) "
+    "SELECT pmcid, target_key, measurement_type, i AS own, CAST(hit AS int) AS other FROM m WHERE hit IS NOT NULL"
+)
 def q_greedy_matches(spark: SparkSession, folder: str) -> DataFrame:
     """One-to-one tolerance matches in document order."""
     rows = lambda name: table(spark, folder, name).where((F.col("normalized_value_nm") > 0) & F.col("measurement_type").isNotNull()).withColumn("value_nm", F.col("normalized_value_nm"))
@@ -279,9 +290,8 @@ def q_greedy_matches(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def q_reachable(spark: SparkSession, folder: str) -> DataFrame:
     """Whether a value is printed in its article's tables."""
-    printed = table(spark, folder, "articles").select("pmcid", F.regexp_replace("xml_text", "<[^>]*>", " ").alias("text"))
-    gold = records_of(spark, folder).select("id", "pmcid", F.col("value_num").alias("value_nm")).where(F.col("value_nm").isNotNull())
-    return evaluate.reachable_share(gold, printed).select("id", "reachable")
+    gold = records_of(spark, folder, "pmcid value_num").where(F.col("value_num").isNotNull())
+    return evaluate.reachable_share(gold, article_tables.printed_numbers(_scanned(spark, folder)), "pmcid", "value_num").select("id", "reachable")
 
 
 _PRED = "p AS (SELECT target_key, pmcid, p_value AS y, 9 - log10(value_nm) + (release_id % 7 - 3) / 4.0 AS pred FROM release_papers WHERE value_nm > 0 AND p_value IS NOT NULL)"
@@ -344,8 +354,8 @@ def q_baseline(spark: SparkSession, folder: str) -> DataFrame:
 def q_noise_floor(spark: SparkSession, folder: str) -> DataFrame:
     """Disagreement of the same compounds between both sources."""
     log = F.log10("normalized_value_nm").alias("v")
-    a = records_of(spark, folder).where(F.col("normalized_value_nm") > 0).select("target_key", F.lower("compound_label").alias("name"), log)
-    b = activities_of(spark, folder).where(F.col("normalized_value_nm") > 0).select("target_key", F.lower("pref_name").alias("name"), log)
+    a = records_of(spark, folder, "target_key compound_label normalized_value_nm").where(F.col("normalized_value_nm") > 0).select("target_key", F.lower("compound_label").alias("name"), log)
+    b = activities_of(spark, folder, "target_key pref_name normalized_value_nm").where(F.col("normalized_value_nm") > 0).select("target_key", F.lower("pref_name").alias("name"), log)
     return _rounded(metrics.noise_floor(a, b, ["target_key", "name"], "v", "v"), "rmse")
 
 
@@ -359,7 +369,7 @@ def q_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
 def q_training_table(spark: SparkSession, folder: str) -> DataFrame:
     """Training rows: median, count and earliest year of each molecule and task."""
     relation = parsing.clean_relation(F.col("relation"))
-    rows = activities_of(spark, folder).where((F.col("normalized_value_nm") > 0) & F.col("validity").isNull() & (relation == "="))
+    rows = activities_of(spark, folder, "target_key molecule_id relation normalized_value_nm validity pub_year").where((F.col("normalized_value_nm") > 0) & F.col("validity").isNull() & (relation == "="))
     rows = rows.withColumn("p", scalars.p_value(F.col("normalized_value_nm"), relation))
     return metrics.training_table(rows, ["target_key", "molecule_id"], "p", "pub_year")
 
@@ -367,13 +377,13 @@ def q_training_table(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {LATEST} SELECT molecule_id, round(list_reduce(list(value_num ORDER BY activity_id), lambda a, x: (a + x) / 2), 9) AS value_num FROM a0 WHERE value_num IS NOT NULL GROUP BY 1")
 def q_running_average(spark: SparkSession, folder: str) -> DataFrame:
     """Running pairwise average in stated order."""
-    return metrics.running_average(activities_of(spark, folder), ["molecule_id"], "value_num", ["activity_id"]).withColumn("value_num", F.round("value_num", 9))
+    return metrics.running_average(activities_of(spark, folder, "molecule_id value_num"), ["molecule_id"], "value_num", ["activity_id"]).withColumn("value_num", F.round("value_num", 9))
 
 
 @query(f"WITH {LATEST} SELECT target_key, list_sort(list(normalized_value_nm))[CAST(floor(count(normalized_value_nm) / 2) AS int) + 1] AS upper_median FROM r0 WHERE normalized_value_nm IS NOT NULL GROUP BY 1")
 def q_upper_median(spark: SparkSession, folder: str) -> DataFrame:
     """Upper median by target (A5)."""
-    return metrics.upper_median_rows(records_of(spark, folder), ["target_key"], "normalized_value_nm", "upper_median")
+    return metrics.upper_median_rows(records_of(spark, folder, "target_key normalized_value_nm"), ["target_key"], "normalized_value_nm", "upper_median")
 
 
 @query(
@@ -385,16 +395,59 @@ def q_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(metrics.nearest_neighbours(rows, rows, "vec_id", "embedding", "label"), "similarity").select("vec_id", "similarity")
 
 
-@query(f"WITH {LATEST} SELECT id, target_key, normalized_value_nm AS value_nm, CASE WHEN relation = '=' THEN round(9 - log10(normalized_value_nm), 3) END AS p_value FROM r0 WHERE normalized_value_nm > 0 AND target_key IN ('CAX2', 'MTK1', 'JNR2')")
+def _structures(spark: SparkSession, folder: str) -> DataFrame:
+    """One structure of each compound name."""
+    rows = table(spark, folder, "release_papers").where(F.col("compound_label").isNotNull() & F.col("smiles").isNotNull())
+    best = rows.groupBy("compound_label").agg(F.min(F.struct("smiles", "inchikey", "scaffold", "structure_method")).alias("s"))
+    return best.select("compound_label", "s.*")
+
+
+@query(
+    f"WITH {LATEST}, s AS (SELECT compound_label, smiles, inchikey, scaffold, structure_method FROM release_papers WHERE compound_label IS NOT NULL AND smiles IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY compound_label ORDER BY smiles, inchikey NULLS FIRST, scaffold NULLS FIRST, structure_method NULLS FIRST) = 1), "
+    "x AS (SELECT pmcid, sha256(xml_text) AS h FROM articles QUALIFY row_number() OVER (PARTITION BY pmcid ORDER BY fetched_at DESC NULLS LAST, xml_text DESC NULLS LAST) = 1) "
+    f"SELECT smiles, inchikey, scaffold, CASE WHEN scaffold IS NULL THEN NULL WHEN {_FOLD.format('scaffold', 100)} < 80 THEN 'train' WHEN {_FOLD.format('scaffold', 100)} < 90 THEN 'valid' ELSE 'test' END AS split, "
+    "target_key AS target, CAST(NULL AS varchar) AS uniprot, target_name, measurement_type AS endpoint, relation, normalized_value_nm AS value_nm, CASE WHEN relation = '=' AND normalized_value_nm > 0 THEN round(9 - log10(normalized_value_nm), 3) END AS p_value, "
+    "raw_value AS reported_value, unit AS reported_unit, compound_label, structure_method, pmcid, doi, coalesce(CAST(pub_year AS varchar), '') AS year, table_id, row_index, 'https://pmc.ncbi.nlm.nih.gov/articles/' || pmcid || '/' AS source_url, "
+    "h AS source_sha256, 'ai_checked_transcription' AS review, id AS record_id FROM r0 JOIN s USING (compound_label) LEFT JOIN targets USING (target_key) LEFT JOIN x USING (pmcid) WHERE review_status = 'reviewed' AND normalized_value_nm IS NOT NULL"
+)
 def q_paper_release(spark: SparkSession, folder: str) -> DataFrame:
-    """Release table of a family."""
-    return release.paper_release(records_of(spark, folder), ["CAX2", "MTK1", "JNR2"]).select("id", "target_key", "value_nm", "p_value")
+    """The paper release with its 24 columns, of all targets."""
+    targets = table(spark, folder, "targets").select("target_key", "target_name", F.lit(None).cast("string").alias("uniprot"))
+    sources = nested_tables.latest_articles(table(spark, folder, "articles")).select("pmcid", F.sha2("xml_text", 256).alias("source_sha256"))
+    return release.paper_release(records_of(spark, folder, " ".join(release.PAPER_SOURCE)), targets, _structures(spark, folder), sources, by=("compound_label",))
+
+
+_NAMED = "SELECT pmcid, compound_label, min(smiles) AS smiles FROM release_papers WHERE pmcid IS NOT NULL AND compound_label IS NOT NULL AND contains(structure_method, 'verified') = {0} GROUP BY ALL"
+
+
+@query(
+    "WITH l AS (SELECT value_id, target_key AS target, endpoint, relation, normalized_value_nm AS value_nm, pmcid, compound_label FROM llm_extract QUALIFY row_number() OVER (PARTITION BY value_id ORDER BY loaded_at DESC NULLS LAST, target_key DESC NULLS LAST, endpoint DESC NULLS LAST, relation DESC NULLS LAST, normalized_value_nm DESC NULLS LAST, pmcid DESC NULLS LAST, compound_label DESC NULLS LAST) = 1), "
+    "v AS (SELECT value_id, max(status) AS status, bool_or(secondary_source) AS sec FROM verify_scale GROUP BY 1), t AS (SELECT DISTINCT target_key AS target, endpoint, true AS task FROM release_papers), "
+    f"a AS ({_NAMED.format('true')}), b AS ({_NAMED.format('false')}), "
+    "g AS (SELECT CASE WHEN status IS DISTINCT FROM 'verified' THEN 'not verified' WHEN sec THEN 'review article' WHEN relation IS DISTINCT FROM '=' THEN 'bound' WHEN task IS NULL THEN 'enzyme/endpoint not in model' WHEN coalesce(a.smiles, b.smiles) IS NULL THEN 'no structure' "
+    "WHEN a.smiles IS NOT NULL THEN 'row: opsin_formula_verified' ELSE 'row: name_matched' END AS outcome, CASE WHEN status = 'verified' AND NOT coalesce(sec, false) AND relation = '=' AND task AND coalesce(a.smiles, b.smiles) IS NOT NULL AND value_nm > 0 THEN round(9 - log10(value_nm), 3) END AS p "
+    "FROM l LEFT JOIN v USING (value_id) LEFT JOIN t USING (target, endpoint) LEFT JOIN a USING (pmcid, compound_label) LEFT JOIN b USING (pmcid, compound_label)) SELECT outcome, count(*) AS n, round(sum(p), 3) AS total_p FROM g GROUP BY 1"
+)
+def q_external_test(spark: SparkSession, folder: str) -> DataFrame:
+    """External test set: rows by structure source, and what was left out why."""
+    names = ["value_id", "target_key", "endpoint", "relation", "normalized_value_nm", "pmcid", "compound_label"]
+    latest = enrich.newest(table(spark, folder, "llm_extract"), "value_id", "loaded_at", names)
+    values = latest.withColumnsRenamed({"target_key": "target", "normalized_value_nm": "value_nm"})
+    checked = table(spark, folder, "verify_scale").groupBy("value_id").agg(F.max("status").alias("status"), F.bool_or("secondary_source").alias("secondary_source"))
+    papers = table(spark, folder, "release_papers")
+    verified = F.contains("structure_method", F.lit("verified"))
+    side = lambda keep: papers.where(keep & F.col("pmcid").isNotNull() & F.col("compound_label").isNotNull()).groupBy("pmcid", "compound_label").agg(F.min("smiles").alias("smiles"))
+    sources = [("opsin_formula_verified", side(verified)), ("name_matched", side(~verified))]
+    rows, reasons = release.external_test(values, checked, papers.select(F.col("target_key").alias("target"), "endpoint"), sources)
+    kept = rows.groupBy(F.concat(F.lit("row: "), "structure_method").alias("outcome")).agg(F.count("*").alias("n"), F.round(F.sum("p"), 3).alias("total_p"))
+    return kept.unionByName(reasons.select(F.col("reason").alias("outcome"), "n", F.lit(None).cast("double").alias("total_p")))
 
 
 @query(f"WITH {LATEST} SELECT activity_id, CASE WHEN normalized_value_nm > 0 THEN round(9 - log10(normalized_value_nm), 3) END AS p_value, units FROM a0 WHERE replace(coalesce(relation, '='), '''', '') = '=' AND units = 'nM' AND validity IS NULL AND value_num > 0")
 def q_database_release(spark: SparkSession, folder: str) -> DataFrame:
     """Release table of the database."""
-    return release.database_release(activities_of(spark, folder)).select("activity_id", "p_value", "units")
+    return release.database_release(activities_of(spark, folder, " ".join(release.DATABASE_SOURCE))).select("activity_id", "p_value", "units")
 
 
 @query("SELECT lower(split) AS split, count(*) AS rows, count(DISTINCT inchikey) AS molecules, count(DISTINCT target_key) AS targets, count(DISTINCT pmcid) AS papers FROM release_papers GROUP BY 1")
@@ -419,7 +472,7 @@ def q_structure_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "release_papers").where(F.col("pmcid").isNotNull() & F.col("compound_label").isNotNull())
     keys, verified = ["pmcid", "compound_label"], F.contains("structure_method", F.lit("verified"))
     pick = lambda keep: rows.where(keep).groupBy(*keys).agg(F.min("smiles").alias("smiles"))
-    return release.structures_by_source(records_of(spark, folder).select("id", *keys), pick(verified), pick(~verified), keys, "smiles").select("id", "smiles", "method")
+    return release.structures_by_source(records_of(spark, folder, "pmcid compound_label").select("id", *keys), pick(verified), pick(~verified), keys, "smiles").select("id", "smiles", "method")
 
 
 @query("WITH d AS (SELECT pmcid, inchikey, min(compound_label) AS a, max(compound_label) AS b FROM release_papers WHERE inchikey IS NOT NULL GROUP BY ALL) SELECT DISTINCT release_id, coalesce(a <> b, false) AS ambiguous FROM release_papers r JOIN d ON r.pmcid IS NOT DISTINCT FROM d.pmcid AND r.inchikey = d.inchikey")
@@ -459,32 +512,45 @@ def q_number_sets(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("value_id", F.aggregate(parsing.number_set(F.col("value_text")), F.lit(0.0), lambda s, x: s + x).alias("total"))
 
 
-@query(r"SELECT doc_id, strpos(text, 'IC50') AS at, substr(text, greatest(1, strpos(text, 'IC50') - 40), 84) AS around FROM documents WHERE strpos(text, 'IC50') > 0")
+@query(
+    "WITH p AS (SELECT doc_id, text, string_split(text, 'IC50') AS p FROM documents WHERE contains(text, 'IC50')), n AS (SELECT doc_id, text, p, unnest(range(1, len(p))) AS k FROM p), "
+    "a AS (SELECT doc_id, text, CAST(length(array_to_string(p[1:k], 'IC50')) + 1 AS int) AS \"at\" FROM n) SELECT doc_id, \"at\", substr(text, greatest(1, \"at\" - 40), \"at\" + 44 - greatest(1, \"at\" - 40)) AS around FROM a"
+)
 def q_context_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """Forty characters around each mention (W9); the SQL twin has only the first mention of a text."""
-    rows = table(spark, folder, "documents").where(F.instr("text", "IC50") > 0)
+    """Forty characters around each mention."""
+    rows = table(spark, folder, "documents").where(F.contains("text", F.lit("IC50")))
     return rows.select("doc_id", F.explode(enrich.mention_windows(F.col("text"), "IC50")).alias("m")).select("doc_id", "m.at", "m.around")
 
 
-@query(r"SELECT doc_id, regexp_matches(text, 'IC ?50|Ki\b') AND regexp_matches(text, '[nµu]M\b') AS potency FROM documents WHERE text IS NOT NULL")
-def q_potency_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts that state an endpoint and a unit."""
-    rows = table(spark, folder, "documents").where(F.col("text").isNotNull())
-    return rows.select("doc_id", (F.col("text").rlike(r"IC ?50|Ki\b") & F.col("text").rlike(r"[nµu]M\b")).alias("potency"))
+def _scanned(spark: SparkSession, folder: str) -> DataFrame:
+    articles = table(spark, folder, "articles")
+    return article_scan.scan_articles(spread(nested_tables.latest_articles(articles), articles))
 
 
 def _parsed(spark: SparkSession, folder: str) -> DataFrame:
-    latest = nested_tables.latest_articles(table(spark, folder, "articles")).dropDuplicates(["pmcid"])
-    return article_tables.parse_articles(latest, on_error="skip")
+    return article_tables.parsed_of(_scanned(spark, folder), on_error="skip")
+
+
+@query()
+def q_potency_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables of each article, and those that state potencies."""
+    return article_tables.potency_tables(_scanned(spark, folder))
 
 
 @query()
 def q_article_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Tables of the articles as header paths and dense grids."""
+    """Tables of the articles as header paths and dense grids."""
     rows = _parsed(spark, folder).where(F.col("kind") == "table")
     return rows.select("pmcid", "table_id", "caption", F.array_join("headers", " || ").alias("headers"), F.size("rows").alias("n_rows"))
 
 
+@query()
+def q_printed_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All tables as printed, here their rows and heading rows."""
+    rows = article_tables.printed_tables(_scanned(spark, folder)).where(F.col("kind") == "xml")
+    return rows.select("pmcid", "table_id", F.size("grid").cast("long").alias("n_rows"), "heads")
+
+
 @query()
 def q_article_records(spark: SparkSession, folder: str) -> DataFrame:
     """Measurement records of the articles' tables."""
@@ -495,7 +561,7 @@ def q_article_records(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def q_article_skips(spark: SparkSession, folder: str) -> DataFrame:
     """What extraction left out, by reason."""
-    parsed = _parsed(spark, folder)
+    parsed = settle(_parsed(spark, folder), "parsed")
     skipped = article_tables.measurements(parsed, classify.rules_of(table(spark, folder, "targets")))[1]
     errors = parsed.where(F.col("kind") == "error").select(F.lit("unreadable article").alias("reason"))
     return skipped.select("reason").unionByName(errors).groupBy("reason").agg(F.count("*").alias("n"))
@@ -503,17 +569,18 @@ def q_article_skips(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def q_methods(spark: SparkSession, folder: str) -> DataFrame:
-    """Assay sections of the articles."""
-    rows = _parsed(spark, folder).where(F.col("kind") == "article")
-    return rows.select("pmcid", F.explode("methods").alias("m")).select("pmcid", "m.section_id", "m.title", "m.text")
+    """Assay sections of the articles, with how many paragraphs they have."""
+    rows = _parsed(spark, folder).where(F.col("kind") == "article").select("pmcid", F.explode("methods").alias("m"))
+    return rows.select("pmcid", "m.section_id", "m.title", F.size(F.split("m.text", "\n\n", -1)).cast("long").alias("paragraphs"))
 
 
 @query()
 def q_verification(spark: SparkSession, folder: str) -> DataFrame:
     """Extracted values verified against their tables."""
-    tables = _parsed(spark, folder).where(F.col("kind") == "table").dropDuplicates(["pmcid", "table_id"])
-    grids = tables.select("pmcid", "table_id", "caption", F.concat(F.array("headers"), "original_rows").alias("grid"), F.lit(1).alias("heads"))
-    rows = enrich.first_per_key(table(spark, folder, "llm_extract"), ["value_id"], [F.col("loaded_at")])
+    tables = article_tables.printed_tables(_scanned(spark, folder)).where((F.col("kind") == "xml") & (F.col("table_id") != ""))
+    grids = tables.groupBy("pmcid", "table_id").agg(F.min_by(F.struct("caption", "grid", "heads"), F.xxhash64("payload", "caption")).alias("t")).select("pmcid", "table_id", "t.*")
+    names = ["value_id", "pmcid", "table_id", "compound_label", "target_key", "value_text", "value_num", "unit", "normalized_value_nm"]
+    rows = enrich.newest(table(spark, folder, "llm_extract"), "value_id", "loaded_at", names)
     values = rows.select(
         "value_id", "pmcid", "table_id", "compound_label", "target_key", "value_text", F.col("value_num").alias("value"), parsing.repair_unit(F.col("unit")).alias("unit"),
         F.col("normalized_value_nm").alias("value_nm"), F.lit("text").alias("kind"),
@@ -524,6 +591,19 @@ def q_verification(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def q_formula_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """Formulas stated in texts."""
+    """Formulas stated in texts."""
     rows = table(spark, folder, "documents").select("doc_id", F.explode(parsing.formula_mentions(F.col("text"), 1 << 30)).alias("formula"))
     return rows.select("doc_id", "formula", F.to_json(parsing.formula_counts(F.col("formula"))).alias("counts"))
+
+
+@query()
+def q_stated_formulas(spark: SparkSession, folder: str) -> DataFrame:
+    """Formulas that articles state for the labels of their records."""
+    labels = table(spark, folder, "records").select("pmcid", "compound_label").where(F.col("compound_label").isNotNull())
+    return article_tables.stated_formulas(_scanned(spark, folder), labels)
+
+
+@query()
+def q_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """Graphics of the articles' figures."""
+    return article_tables.figures(_scanned(spark, folder))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayweave.functions import parsing, scalars
-from assayweave.operators import enrich, metrics, search
+from assayweave.operators import classify, enrich, metrics, search
 from assayweave.sources import writers
 from assayweave.sources.tables import table
 
@@ -32,18 +32,23 @@ def query(sql: str | None = None):
     return add
 
 
-def records_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest row of each record."""
-    return enrich.newest(table(spark, folder, "records"), "id", "exported_at")
+def records_of(spark: SparkSession, folder: str, columns: str = "") -> DataFrame:
+    """Latest row of each record: its id and the named columns."""
+    return enrich.newest(table(spark, folder, "records"), "id", "exported_at", ["id", *columns.split()])
 
 
-def activities_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest row of each activity."""
-    return enrich.newest(table(spark, folder, "chembl_activity"), "activity_id", "loaded_at")
+def activities_of(spark: SparkSession, folder: str, columns: str = "") -> DataFrame:
+    """Latest row of each activity: its id and the named columns."""
+    return enrich.newest(table(spark, folder, "chembl_activity"), "activity_id", "loaded_at", ["activity_id", *columns.split()])
+
+
+#: What :func:`search.paper_rows` and :func:`search.database_rows` read.
+PAPER = "pmcid doi pub_year table_id row_index compound_label target_key measurement_type relation normalized_value_nm raw_value unit flags"
+DATABASE = "molecule_id pref_name endpoint relation value_num units normalized_value_nm target_key document_id doi pub_year validity"
 
 
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
-    return search.paper_rows(records_of(spark, folder)).unionByName(search.database_rows(activities_of(spark, folder)))
+    return search.paper_rows(records_of(spark, folder, PAPER)).unionByName(search.database_rows(activities_of(spark, folder, DATABASE)))
 
 
 _POOL = (
@@ -62,7 +67,7 @@ _POOL = (
 )
 def q_potency_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles and the most potent rows by target and endpoint."""
-    rows = search.paper_rows(records_of(spark, folder)).where(F.col("endpoint").isNotNull())
+    rows = search.paper_rows(records_of(spark, folder, PAPER)).where(F.col("endpoint").isNotNull())
     out = search.potency_summary(rows, ["target", "endpoint"])
     return out.select("target", "endpoint", "n", *[F.round(c, 6).alias(c) for c in ("p10", "p50", "p90")], F.array_join("top", ";").alias("top"))
 
@@ -73,7 +78,7 @@ def q_potency_summary(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_search(spark: SparkSession, folder: str) -> DataFrame:
     """A search of both sources, its limit clamped to 100."""
-    rows = search.pool(search.paper_rows(records_of(spark, folder)), search.database_rows(activities_of(spark, folder)), "both", "CAX2")
+    rows = search.pool(search.paper_rows(records_of(spark, folder, PAPER)), search.database_rows(activities_of(spark, folder, DATABASE)), "both", "CAX2")
     return search.search_measurements(rows, endpoint="Ki", max_nm=5000, exact_only=True, limit=1000).select("id", "source", "compound", "value_nm", "matches")
 
 
@@ -83,7 +88,7 @@ def q_search(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_dataset_info(spark: SparkSession, folder: str) -> DataFrame:
     """Global counts (Q1, A2, A3)."""
-    return search.dataset_info(records_of(spark, folder), activities_of(spark, folder))
+    return search.dataset_info(records_of(spark, folder, "pmcid target_key normalized_value_nm relation"), activities_of(spark, folder, "molecule_id"))
 
 
 @query(
@@ -93,7 +98,7 @@ def q_dataset_info(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_list_targets(spark: SparkSession, folder: str) -> DataFrame:
     """Targets with their counts (Q2, Q12, A1)."""
-    out = search.list_targets(table(spark, folder, "targets"), records_of(spark, folder), activities_of(spark, folder))
+    out = search.list_targets(table(spark, folder, "targets"), records_of(spark, folder, "target_key pmcid"), activities_of(spark, folder, "target_key"))
     return out.select("target_key", "target_name", "paper_values", "papers", "database_values")
 
 
@@ -124,7 +129,7 @@ def q_compound_profile(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_histogram(spark: SparkSession, folder: str) -> DataFrame:
     """Half-decade histogram by target and type."""
-    rows = records_of(spark, folder).where(F.col("measurement_type").isNotNull())
+    rows = records_of(spark, folder, "target_key measurement_type normalized_value_nm").where(F.col("measurement_type").isNotNull())
     return metrics.histogram(rows, ["target_key", "measurement_type"], "normalized_value_nm")
 
 
@@ -134,7 +139,7 @@ def q_histogram(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_commonest_endpoint(spark: SparkSession, folder: str) -> DataFrame:
     """Most frequent type of each target, ties alphabetical."""
-    return metrics.commonest(records_of(spark, folder), ["target_key"], "measurement_type")
+    return metrics.commonest(records_of(spark, folder, "target_key measurement_type"), ["target_key"], "measurement_type")
 
 
 @query(
@@ -142,27 +147,27 @@ def q_commonest_endpoint(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_filter_records(spark: SparkSession, folder: str) -> DataFrame:
     """Text filter, in which a missing type reads None, and flagged ones."""
-    rows = records_of(spark, folder)
+    rows = records_of(spark, folder, "compound_label pmcid target_key measurement_type flags")
     return search.filter_records(rows, "none").select("id").union(search.filter_records(rows, "ki", flagged=True).select("id")).distinct()
 
 
 @query(f"WITH {LATEST} SELECT id, uncertainty FROM r0 ORDER BY uncertainty DESC NULLS LAST, id LIMIT 500")
 def q_ordered(spark: SparkSession, folder: str) -> DataFrame:
     """First 500 rows by a column, nulls last (O2)."""
-    return search.ordered(records_of(spark, folder), "uncertainty", descending=True).select("id", "uncertainty")
+    return search.ordered(records_of(spark, folder, "uncertainty"), "uncertainty", descending=True).select("id", "uncertainty")
 
 
 @query(f"WITH {LATEST} SELECT id, exported_at FROM r0")
 def q_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Latest row of each id."""
-    return records_of(spark, folder).select("id", "exported_at")
+    return records_of(spark, folder, "exported_at").select("id", "exported_at")
 
 
 @query(f"WITH {LATEST} SELECT id, count(*) OVER (PARTITION BY pmcid, target_key, compound_label, measurement_type, raw_value, unit) > 1 AS repeated, "
        "coalesce(min(table_id) OVER w <> max(table_id) OVER w, false) AS several FROM r0 WINDOW w AS (PARTITION BY pmcid, target_key, compound_label, measurement_type)")
 def q_group_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated measurements and multiple reports within an article."""
-    rows = records_of(spark, folder)
+    rows = records_of(spark, folder, "pmcid target_key compound_label measurement_type raw_value unit table_id")
     keys = ["pmcid", "target_key", "compound_label", "measurement_type"]
     return rows.select("id", enrich.repeated(rows, [*keys, "raw_value", "unit"]).alias("repeated"), enrich.multiple_reports(rows, keys, "table_id").alias("several"))
 
@@ -188,7 +193,7 @@ def q_top_headers(spark: SparkSession, folder: str) -> DataFrame:
 )
 def q_group_dump(spark: SparkSession, folder: str) -> DataFrame:
     """Per article: reviewed rows, first five flags, three examples."""
-    rows = records_of(spark, folder)
+    rows = records_of(spark, folder, "pmcid flags review_status")
     flags = F.array_sort(F.flatten(F.collect_set(F.coalesce("flags", F.array().cast("array<string>")))))
     base = rows.groupBy("pmcid").agg(F.count_if(F.col("review_status") == "reviewed").alias("ok"), F.array_join(F.slice(F.array_distinct(flags), 1, 5), ";").alias("flags"))
     shown = enrich.top_per_group(rows.select("pmcid", "id"), ["pmcid"], [F.col("id")], 3).groupBy("pmcid").agg(F.array_join(F.array_sort(F.collect_list("id")), ";").alias("examples"))
@@ -242,7 +247,7 @@ def q_bag_difference(spark: SparkSession, folder: str) -> DataFrame:
 def q_flag_algebra(spark: SparkSession, folder: str) -> DataFrame:
     """Flags that block."""
     info = F.array(*map(F.lit, enrich.INFO_FLAGS))
-    return records_of(spark, folder).select("id", F.array_join(F.array_except(F.coalesce("flags", F.array().cast("array<string>")), info), ";").alias("blocking"))
+    return records_of(spark, folder, "flags").select("id", F.array_join(F.array_except(F.coalesce("flags", F.array().cast("array<string>")), info), ";").alias("blocking"))
 
 
 @query(
@@ -261,7 +266,7 @@ def q_without_papers(spark: SparkSession, folder: str) -> DataFrame:
 def q_dictionary_joins(spark: SparkSession, folder: str) -> DataFrame:
     """Records with target and article fields."""
     titles = table(spark, folder, "articles").groupBy("pmcid").agg(F.max(F.struct("fetched_at", "title")).alias("a"))
-    rows = records_of(spark, folder).join(table(spark, folder, "targets"), "target_key", "left").join(titles, "pmcid", "left")
+    rows = records_of(spark, folder, "pmcid target_key").join(table(spark, folder, "targets"), "target_key", "left").join(titles, "pmcid", "left")
     return rows.select("id", "target_name", F.coalesce("a.title", F.lit("")).alias("title"))
 
 
@@ -271,17 +276,32 @@ _GUARD = r"CASE WHEN regexp_matches({0}, '^\s*[=+\-@\t\r]') AND {0} NOT IN ('=',
 @query(f"WITH {LATEST} SELECT id, {_GUARD.format('compound_label')}, {_GUARD.format('relation')}, array_to_string(flags, ';') AS flags, CAST(row_index AS varchar) AS row_index, {_GUARD.format('raw_value')} FROM r0")
 def q_sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Spreadsheet-safe export rows."""
-    return writers.sheet_columns(records_of(spark, folder), ["id", "compound_label", "relation", "flags", "row_index", "raw_value"])
+    return writers.sheet_columns(records_of(spark, folder, "compound_label relation flags row_index raw_value"), ["id", "compound_label", "relation", "flags", "row_index", "raw_value"])
+
+
+_SAYS = lambda words: " OR ".join(f"contains(lower(license), '{w}')" for w in words)
 
 
 @query(
-    "SELECT pmcid, CASE WHEN license IS NULL THEN 'unknown' WHEN regexp_matches(license, '(?i)NC|ND') THEN 'restricted' WHEN regexp_matches(license, '(?i)CC.?BY|CC0') THEN 'open' ELSE 'unknown' END AS class, count(*) AS n FROM articles GROUP BY ALL"
+    f"SELECT pmcid, CASE WHEN {_SAYS(('by-nc', 'by-nd', 'noncommercial', 'non-commercial', 'no derivatives'))} THEN 'restricted' "
+    f"WHEN {_SAYS(('licenses/by/', 'cc by', 'cc-by', 'creative commons attribution', 'publicdomain/zero', 'cc0'))} THEN 'open' ELSE 'unknown' END AS class, count(*) AS n FROM articles GROUP BY ALL"
 )
 def q_licence_classes(spark: SparkSession, folder: str) -> DataFrame:
     """Licence classes of articles."""
-    name = F.col("license")
-    kind = F.when(name.isNull(), "unknown").when(name.rlike("(?i)NC|ND"), "restricted").when(name.rlike("(?i)CC.?BY|CC0"), "open").otherwise("unknown")
-    return table(spark, folder, "articles").groupBy("pmcid", kind.alias("class")).agg(F.count("*").alias("n"))
+    return table(spark, folder, "articles").groupBy("pmcid", classify.licence_class(F.col("license")).alias("class")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH r AS (SELECT id, max(exported_at) AS t FROM records GROUP BY 1), m AS (SELECT id, arg_max(review_status, (exported_at, review_status)) AS status, max(exported_at) AS date FROM records_mirror GROUP BY 1), "
+    "f AS (SELECT DISTINCT records.id, pmcid, len(list_filter(coalesce(flags, []), lambda x: x NOT IN ('missing_assay_context', 'target_from_caption'))) AS blocked, review_status FROM records JOIN r ON records.id = r.id AND exported_at = t) "
+    "SELECT pmcid, count(*) AS reviewed FROM f LEFT JOIN m USING (id) WHERE CASE WHEN m.status IS NOT NULL AND blocked = 0 THEN m.status ELSE review_status END = 'reviewed' GROUP BY 1"
+)
+def q_reviewed(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with the review log of the other copy, and what of them is reviewed."""
+    log = enrich.newest(table(spark, folder, "records_mirror"), "id", "exported_at", ["id", "review_status", "exported_at"])
+    log = log.select("id", F.col("review_status").alias("status"), F.lit("mirror").alias("reviewer"), F.col("exported_at").cast("string").alias("date"), F.lit(None).cast("string").alias("method"))
+    records = enrich.apply_reviews(records_of(spark, folder, "pmcid flags review_status"), log)
+    return enrich.reviewed_view(records).groupBy("pmcid").agg(F.count("*").alias("reviewed"))
 
 
 @query("SELECT DISTINCT activity_id, replace(coalesce(relation, '='), '''', '') AS relation, lower(coalesce(doi, '')) AS doi FROM chembl_activity")

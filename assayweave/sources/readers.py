@@ -96,6 +96,16 @@ def read_database_files(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     return activities, documents, assays
 
 
+def read_target(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Activities of one target of a release written by target; only its folder is read, an unknown target has no rows."""
+    return spark.read.parquet(path).where(F.col("target") == target)
+
+
+def documents_by_pmid(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pmid, document_id`` of the wanted pmids; a pmid may have several documents, null ones have none."""
+    return documents.where(F.col("pmid").isNotNull()).select("pmid", "document_id").distinct().join(wanted.select("pmid").distinct(), "pmid")
+
+
 def import_bundle(activities: DataFrame, key: str = "activity_id", group: str = "target", order: list[Column] | None = None) -> DataFrame:
     """Rows in nM with a value, the first of each activity and target.
 

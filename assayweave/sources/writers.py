@@ -60,11 +60,23 @@ def write_training(df: DataFrame, path: str) -> None:
 
 
 def write_snapshot(records: DataFrame, articles: DataFrame, tables: DataFrame, path: str) -> None:
-    """Records, and the articles and tables they use, side by side."""
-    used = records.select("pmcid").distinct()
+    """Records, the articles and tables they use, and the skipped rows of nothing, side by side.
+
+    The assay context belongs to the article: it leaves the records and is stored once with
+    each article, an empty list where no record has one.
+    """
+    if "assay_context" in records.columns:
+        contexts = records.groupBy("pmcid").agg(F.max("assay_context").alias("assay_context"))
+        used = articles.drop("assay_context").join(contexts, "pmcid")
+        if isinstance(records.schema["assay_context"].dataType, T.ArrayType):
+            kind = records.schema["assay_context"].dataType.simpleString()
+            used = used.withColumn("assay_context", F.coalesce("assay_context", F.array().cast(kind)))
+    else:
+        used = articles.join(records.select("pmcid").distinct(), "pmcid", "left_semi")
     records.drop("assay_context").write.mode("overwrite").json(f"{path}/records")
-    articles.join(used, "pmcid", "left_semi").write.mode("overwrite").json(f"{path}/articles")
+    used.write.mode("overwrite").json(f"{path}/articles")
     tables.join(records.select("pmcid", "table_id").distinct(), ["pmcid", "table_id"], "left_semi").write.mode("overwrite").json(f"{path}/tables")
+    records.sparkSession.createDataFrame([], "pmcid string, table_id string, row_index int, reason string").write.mode("overwrite").json(f"{path}/skipped")
 
 
 def upsert(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
@@ -79,13 +91,21 @@ def attribution(articles: DataFrame, known: DataFrame, most: int = 8) -> DataFra
     return fresh.select("pmcid", F.when(F.size("authors") > most, F.concat(short, F.lit(" et al."))).otherwise(short).alias("credit"))
 
 
-def data_card(df: DataFrame, title: str, by: list[str]) -> str:
-    """Markdown with the size class and the counts of some columns, largest first."""
+def data_card(df: DataFrame, title: str, by: list[str], most: int = 200) -> str:
+    """Markdown with the size class and the counts of some columns, largest first.
+
+    A column with more than ``most`` values shows the most frequent ones, and one line
+    with the number and the rows of all others, so that each table adds up to all rows.
+    """
     total = df.count()
     size = df.sparkSession.range(1).select(scalars.size_bucket(F.lit(total))).first()[0]
     lines = [f"# {title}", "", f"Rows: {total} ({size})", ""]
     for column in by:
         lines += [f"| {column} | rows |", "|---|---|"]
-        counted = df.groupBy(column).count().orderBy(F.col("count").desc(), column).limit(200).collect()
-        lines += [f"| {row[column]} | {row['count']} |" for row in counted] + [""]
+        counted = df.groupBy(column).count()
+        shown = counted.orderBy(F.col("count").desc(), column).limit(most).collect()
+        lines += [f"| {row[column]} | {row['count']} |" for row in shown]
+        if len(shown) == most and (others := counted.count() - most):
+            lines.append(f"| {others} others | {total - sum(row['count'] for row in shown)} |")
+        lines.append("")
     return "\n".join(lines)

@@ -212,19 +212,101 @@ def test_filters_and_order(records):
     assert {r["id"] for r in search.filter_records(records, flagged=True).collect()} == {"r2", "r4"}
 
 
-def test_releases(spark, records):
-    got = {r["id"]: r["p_value"] for r in release.paper_release(records).collect()}
-    assert got == {"r1": 8.0, "r2": 8.301, "r3": None, "r4": 8.699}
+def test_releases(spark):
+    kinds = "id string, pmcid string, compound_label string, target_key string, review_status string, normalized_value_nm double, relation string, doi string, pub_year int, table_id string, row_index int, measurement_type string, raw_value string, unit string"
+    row = lambda i, label, status, nm, relation: (i, "P1", label, "A", status, nm, relation, "d", None, "T", 3, "Ki", "10", "nM")
+    rows = [row("r1", "x", "reviewed", 10.0, "="), row("r2", "x", "unreviewed", 10.0, "="), row("r3", "y", "reviewed", 10.0, "="), row("r4", "x", "reviewed", None, "="), row("r5", "x", "reviewed", 10.0, ">")]
+    structures = spark.createDataFrame([("P1", "x", "CC", "K", "S", "named")], "pmcid string, compound_label string, smiles string, inchikey string, scaffold string, structure_method string")
+    targets = spark.createDataFrame([("A", "An enzyme", "U1")], "target_key string, target_name string, uniprot string")
+    sources = spark.createDataFrame([("P1", "hash")], "pmcid string, source_sha256 string")
+    out = release.paper_release(spark.createDataFrame(rows, kinds), targets, structures, sources)
+    assert out.columns == list(release.PAPER_COLUMNS) and len(out.columns) == 24
+    got = {r["record_id"]: r for r in out.collect()}
+    assert set(got) == {"r1", "r5"} and got["r1"]["p_value"] == 8.0 and got["r5"]["p_value"] is None
+    assert (got["r1"]["year"], got["r1"]["source_sha256"], got["r1"]["target_name"], got["r1"]["smiles"]) == ("", "hash", "An enzyme", "CC")
+    assert release.paper_release(spark.createDataFrame(rows, kinds), targets, structures, sources, ["B"]).count() == 0
+
+
+def test_costly_functions_run_on_distinct_values(spark):
     calls = release.standardized(spark.createDataFrame([("a",), ("a",), (None,)], "s string"), "s", str.upper, "u")
     assert sorted(str(r["u"]) for r in calls.collect()) == ["A", "A", "None"]
 
 
+def test_external_test_counts_the_first_gate(spark):
+    values = [(1, "A", "Ki", "=", 10.0, "P", "x"), (2, "A", "Ki", "=", 10.0, "P", "x"), (3, "A", "Ki", ">", 10.0, "P", "x"), (4, "B", "Ki", "=", 10.0, "P", "x"), (5, "A", "Ki", "=", 10.0, "P", "y"), (6, "A", "Ki", "=", 10.0, None, None), (7, "A", "Ki", "=", 10.0, "P", "x"), (8, "A", "Ki", "=", 100.0, "P", "z")]
+    checked = [(1, "verified", False), (2, "image", False), (3, "verified", False), (4, "verified", False), (5, "verified", None), (6, "verified", False), (7, "verified", True), (8, "verified", False)]
+    v = spark.createDataFrame(values, "value_id int, target string, endpoint string, relation string, value_nm double, pmcid string, compound_label string")
+    c = spark.createDataFrame(checked, "value_id int, status string, secondary_source boolean")
+    side = lambda *rows: spark.createDataFrame(list(rows), "pmcid string, compound_label string, smiles string")
+    rows, reasons = release.external_test(v, c, spark.createDataFrame([("A", "Ki")], "target string, endpoint string"), [("first", side(("P", "x", "C"))), ("second", side(("P", "x", "N"), ("P", "z", "O")))])
+    assert {(r["value_id"], r["smiles"], r["structure_method"], r["p"]) for r in rows.collect()} == {(1, "C", "first", 8.0), (8, "O", "second", 7.0)}
+    assert {r["reason"]: r["n"] for r in reasons.collect()} == {"not verified": 1, "review article": 1, "bound": 1, "enzyme/endpoint not in model": 1, "no structure": 2}
+
+
+def test_newest_takes_the_latest_row_of_each_key(spark):
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "y"), ("b", None, "z"), ("b", 1, "w"), (None, 1, "p"), (None, 2, "q"), ("c", None, "r"), ("c", None, "s"), ("d", 5, None), ("e", 1, "u"), ("e", 1, "t")]
+    df = spark.createDataFrame(rows, "k string, v int, x string")
+    assert sorted(map(str, enrich.newest(df, "k", "v").collect())) == sorted(map(str, spark.createDataFrame([("a", 2, "y"), ("b", 1, "w"), (None, 2, "q"), ("c", None, "s"), ("d", 5, None), ("e", 1, "u")], df.schema).collect()))
+    assert {tuple(r) for r in enrich.newest(df, "k", "v", ["x", "k"]).collect()} == {("a", "y"), ("b", "w"), (None, "q"), ("c", "s"), ("d", None), ("e", "u")}
+    assert {tuple(r) for r in enrich.newest(df, "k", "v", ["v"]).collect()} == {("a", 2), ("b", 1), (None, 2), ("c", None), ("d", 5), ("e", 1)}
+    assert enrich.newest(df.limit(0), "k", "v").count() == 0
+
+
+def test_newest_of_two_columns_reads_and_sorts_no_more(spark, tmp_path):
+    spark.range(50).selectExpr("cast(id % 9 as string) k", "timestamp_seconds(id) v", "'x' a", "'y' b").write.parquet(str(tmp_path / "t"))
+    plan = enrich.newest(spark.read.parquet(str(tmp_path / "t")), "k", "v", ["k", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ReadSchema: struct<k:string,v:timestamp>" in plan
+
+
+def test_reviews(spark):
+    records = spark.createDataFrame([("1", "P", ["missing_assay_context"], "unreviewed"), ("2", "P", ["qualified_value"], "unreviewed"), ("3", "Q", None, "reviewed"), ("4", "R", [], "unreviewed")], "id string, pmcid string, flags array<string>, review_status string")
+    log = spark.createDataFrame([("1", "reviewed", "me", None, "read"), ("2", "reviewed", "me", "d", "read"), ("9", "reviewed", "me", "d", "read")], "id string, status string, reviewer string, date string, method string")
+    done = enrich.apply_reviews(records, log)
+    got = {r["id"]: (r["review_status"], r["review_provenance"] and r["review_provenance"]["date"]) for r in done.collect()}
+    assert got == {"1": ("reviewed", "Not recorded"), "2": ("unreviewed", None), "3": ("reviewed", None), "4": ("unreviewed", None)}
+    assert {r["id"] for r in enrich.reviewed_view(done).collect()} == {"1", "3"}
+    articles = spark.createDataFrame([("P",), ("Q",), ("R",)], "pmcid string")
+    assert {r["pmcid"] for r in enrich.of_reviewed(articles, done).collect()} == {"P", "Q"}
+
+
+def test_a_doi_may_have_many_documents(spark):
+    documents = spark.createDataFrame([("10.1/A", "D1"), ("10.1/a", "D2"), ("10.2/b", "D3"), (None, "D4")], "doi string, document_id string")
+    rows = spark.createDataFrame([(1, "10.1/a"), (2, "10.9/z"), (3, None)], "n int, doi string")
+    assert {(r["n"], r["document_id"]) for r in enrich.documents_of(rows, documents).collect()} == {(1, "D1"), (1, "D2")}
+
+
+def greedy_by_hand(own, gold):
+    free, out = list(enumerate(gold, 1)), set()
+    for n, v in enumerate(own, 1):
+        at = next((i for i, (_, w) in enumerate(free) if abs(v - w) <= 0.02 * max(abs(w), 1e-12) or float(f"{v:.2g}") == float(f"{w:.2g}")), None)
+        if at is not None:
+            out.add((n, free.pop(at)[0]))
+    return out
+
+
+def test_greedy_matching_against_brute_force(spark):
+    rng = random.Random(8)
+    draw = lambda: rng.choice([1.0, 1.05, 1.04, 1.1, 2.0, 2.03, 2.5, 2.45, 10.0, 10.2, 9.96, 100.0, 1e-7, 3e9]) * rng.choice((1.0, 1.0, 1.019, 0.981))
+    groups = {f"g{n}": ([draw() for _ in range(rng.randint(0, 25))], [draw() for _ in range(rng.randint(0, 25))]) for n in range(20)}
+    frame = lambda side: spark.createDataFrame([(g, n, v) for g, both in groups.items() for n, v in enumerate(both[side])], "g string, o int, value_nm double")
+    got = {(r["g"], r["own"], r["other"]) for r in evaluate.greedy_matches(frame(0), frame(1), ["g"], ["o"], ["o"]).collect()}
+    assert got == {(g, *pair) for g, (a, b) in groups.items() for pair in greedy_by_hand(a, b)}
+
+
+def test_reachable(spark):
+    gold = spark.createDataFrame([(1, "P", 100.0), (2, "P", 103.0), (3, "P", 7.04), (4, "Q", 100.0), (5, None, 1.0), (6, "P", None), (7, "P", 0.0), (8, "P", 99.0)], "id int, pmcid string, value_nm double")
+    numbers = spark.createDataFrame([("P", 101.0), ("P", 7.0), ("P", 0.0), ("Z", 100.0)], "pmcid string, n double")
+    got = {r["id"]: r["reachable"] for r in evaluate.reachable_share(gold, numbers).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False, 7: True, 8: True}
+
+
 def test_windows_of_every_mention(spark):
     text = "IC50 é " + "x" * 50 + "IC50IC50 end"
     df = spark.createDataFrame([(1, text), (2, "none"), (3, None), (4, "IC50")], "k int, t string")
     got = df.select("k", F.explode(enrich.mention_windows(F.col("t"), "IC50")).alias("m")).select("k", "m.at", "m.around").collect()
     assert sorted((r["k"], r["at"]) for r in got) == [(1, 1), (1, 58), (1, 62), (4, 1)]
-    assert all(r["around"] == text[max(0, r["at"] - 41) :][:84] for r in got if r["k"] == 1)
+    # as many characters as asked on both sides of the mention, fewer at the ends of the text
+    assert all(r["around"] == text[max(0, r["at"] - 41) : r["at"] + 43] for r in got if r["k"] == 1)
 
 
 def test_bootstrap_query_takes_as_many_replicates_as_the_reference(monkeypatch):

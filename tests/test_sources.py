@@ -114,3 +114,51 @@ def test_entry_lists_queries():
 
     queries, twins = entry.queries(), entry.oracle_sql()
     assert set(twins) <= set(queries) and len(queries) > 70
+
+
+def test_data_card_adds_up_to_all_rows(spark):
+    df = spark.createDataFrame([(str(n % 7),) for n in range(30)], "k string")
+    card = writers.data_card(df, "t", ["k"], most=3)
+    assert "| 0 | 5 |" in card and "| 4 others | 16 |" in card and "others" not in writers.data_card(df, "t", ["k"], most=7)
+
+
+def test_release_is_read_by_target(spark, tmp_path):
+    df = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3)], "target string, activity_id long")
+    writers.write_release(df, str(tmp_path / "r"), by="target")
+    one = readers.read_target(spark, str(tmp_path / "r"), "A")
+    assert {r["activity_id"] for r in one.collect()} == {1, 3} and "PartitionFilters: [isnotnull(target" in one._jdf.queryExecution().executedPlan().toString()
+    assert readers.read_target(spark, str(tmp_path / "r"), "Z").count() == 0
+
+
+def test_pmid_dictionary(spark):
+    documents = spark.createDataFrame([(1, "D1"), (1, "D2"), (2, "D3"), (None, "D4")], "pmid int, document_id string")
+    wanted = spark.createDataFrame([(1,), (1,), (9,), (None,)], "pmid int")
+    assert {tuple(r) for r in readers.documents_by_pmid(documents, wanted).collect()} == {(1, "D1"), (1, "D2")}
+
+
+def test_articles_are_admitted_by_gates(spark):
+    from assayweave.operators import article_scan
+    from assayweave.operators.registry import RULES
+    from assayweave.streaming import ingest
+
+    def text(n, licence, value="5"):
+        rows = f"<tr><td>a1</td><td>{value}</td></tr>"
+        return (
+            f'<article><front><article-meta><article-id pub-id-type="pmc">{n}</article-id><permissions><license><p>{licence}</p></license></permissions></article-meta></front>'
+            f'<body><table-wrap id="T"><table><thead><tr><th>drug</th><th>JAK2 IC50 (nM)</th></tr></thead><tbody>{rows}</tbody></table></table-wrap></body></article>'
+        )
+
+    rows = [("PMC1", text(1, "CC BY 4.0")), ("PMC2", text(2, "CC BY-NC")), ("PMC3", text(3, "CC BY", "n.d.")), ("PMC4", "<a"), ("PMC5", text(5, "CC BY")), ("PMC6", text(6, "CC0"))]
+    scanned = article_scan.scan_articles(spark.createDataFrame(rows, "pmcid string, xml_text string"))
+    rules = tuple(r for r in RULES if r.key == "JAK2")
+    admitted, reasons = ingest.admit(scanned, spark.createDataFrame([("PMC5",)], "pmcid string"), rules)
+    assert [(r["pmcid"], r["clean"]) for r in admitted.collect()] == [("PMC1", 1)]
+    assert {r["reason"]: r["n"] for r in reasons.collect()} == {"have": 1, "err": 1, "no_clean": 1, "license": 2}
+
+
+def test_snapshot_stores_contexts_once_an_article(spark, tmp_path):
+    records = spark.createDataFrame([("P", "T", ["m"], 1), ("P", "T", ["m"], 2), ("Q", "U", None, 3)], "pmcid string, table_id string, assay_context array<string>, id int")
+    articles = spark.createDataFrame([("P", "a"), ("Q", "b"), ("R", "c")], "pmcid string, title string")
+    writers.write_snapshot(records, articles, spark.createDataFrame([("P", "T"), ("P", "X")], "pmcid string, table_id string"), str(tmp_path / "s"))
+    assert {(r["pmcid"], tuple(r["assay_context"])) for r in spark.read.json(str(tmp_path / "s/articles")).collect()} == {("P", ("m",)), ("Q", ())}
+    assert "assay_context" not in spark.read.json(str(tmp_path / "s/records")).columns and spark.read.json(str(tmp_path / "s/tables")).count() == 1

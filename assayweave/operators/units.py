@@ -268,22 +268,20 @@ def to_nanomolar(number: Column, unit: Column) -> Column:
     return F.when(unit["kind"] == "molar", molar).when(unit["kind"] == "log", log)
 
 
-def printed_quantities(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
-    """``key, number, nm`` of a printed value with its own or its field's unit; both may be null."""
+def parsed_printed(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
+    """``key, u, number, log, rest`` of printed values: what :func:`printed_of` needs."""
     folded = rows.select(key, fold(F.col(value)).alias("t"), F.trim(fold(F.col(unit))).alias("u"))
-    parsed = folded.select(key, "u", parse_printed(F.col("t")).alias("p")).select(key, "u", "p.*")
-    aliases = alias_dictionary(_phrases(parsed, "rest", "u"))
+    return settle(folded.select(key, "u", parse_printed(F.col("t")).alias("p")).select(key, "u", "p.*"), "printed")
+
+
+def printed_of(parsed: DataFrame, key: str, aliases: DataFrame) -> DataFrame:
+    """``key, number, nm`` of a printed value with its own or its field's unit; both may be null."""
     joined = _with_unit(_with_unit(parsed, aliases, "rest", "by_text"), aliases, "u", "by_unit")
     return joined.select(key, "number", to_nanomolar(F.col("number"), F.coalesce(F.col("by_text"), F.col("by_unit"))).alias("nm"))
 
 
-def literature_quantities(rows: DataFrame) -> DataFrame:
-    """``value_id, nm, normalized_value_nm`` of extracted values that print one number.
-
-    The number is the one printed in ``value_text``; its own unit prevails over the unit
-    field, that over the header.  Ranges, alternatives and missing values have no row; ``nm`` is null
-    for percentages, mass per volume and where no unit is named.
-    """
+def parsed_literature(rows: DataFrame) -> DataFrame:
+    """What :func:`literature_of` needs of the extracted values that print one number."""
     folded = rows.select(
         "value_id", "normalized_value_nm", fold(F.col("value_text")).alias("t"), F.trim(fold(F.col("unit"))).alias("u"), F.trim(fold(F.col("column_header"))).alias("h"),
     )
@@ -291,9 +289,12 @@ def literature_quantities(rows: DataFrame) -> DataFrame:
     # a digit after the number, other than in the unit's own spelling, is a range or an alternative
     single = ~F.coalesce(F.regexp_replace("rest", UNIT_DIGITS, ""), F.lit("")).rlike(r"\d")
     # without a single number nothing can be converted, whatever the unit is
-    numbered = settle(parsed.where(F.col("number").isNotNull() & single), "numbered")  # narrow, and read twice
-    aliases = alias_dictionary(_phrases(numbered, "rest", "u", "h"))
-    joined = numbered
+    return settle(parsed.where(F.col("number").isNotNull() & single), "numbered")
+
+
+def literature_of(parsed: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``value_id, nm, normalized_value_nm``: a value's own unit prevails over the unit field, that over the header."""
+    joined = parsed
     for column, name in (("rest", "by_text"), ("u", "by_unit"), ("h", "by_header")):
         joined = _with_unit(joined, aliases, column, name)
     log = F.when(F.col("log").isNotNull(), F.struct(F.lit("log").alias("kind"), F.lit(0).alias("power")))
@@ -301,28 +302,73 @@ def literature_quantities(rows: DataFrame) -> DataFrame:
     return joined.select("value_id", to_nanomolar(F.col("number"), unit).alias("nm"), "normalized_value_nm")
 
 
-def database_quantities(rows: DataFrame) -> DataFrame:
-    """``activity_id, nm, kind, normalized_value_nm`` of activities; ``units`` prevails over the assay description."""
-    folded = rows.select(
-        "activity_id", "normalized_value_nm", F.col("value_num").alias("number"), F.trim(fold(F.col("units"))).alias("u"), F.trim(fold(F.col("assay_description"))).alias("a"),
-    ).where(F.col("number").isNotNull() & ~F.isnan("number"))
-    folded = settle(folded, "folded")
-    aliases = alias_dictionary(_phrases(folded, "u", "a"))
-    joined = _with_unit(_with_unit(folded, aliases, "u", "by_unit"), aliases, "a", "by_assay")
+def parsed_activities(rows: DataFrame) -> DataFrame:
+    """What :func:`activities_of` needs of the activities that have a number."""
+    return settle(
+        rows.select(
+            "activity_id", "normalized_value_nm", F.col("value_num").alias("number"), F.trim(fold(F.col("units"))).alias("u"), F.trim(fold(F.col("assay_description"))).alias("a"),
+        ).where(F.col("number").isNotNull() & ~F.isnan("number")), "folded"
+    )
+
+
+def activities_of(parsed: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``activity_id, nm, kind, normalized_value_nm``; ``units`` prevails over the assay description."""
+    joined = _with_unit(_with_unit(parsed, aliases, "u", "by_unit"), aliases, "a", "by_assay")
     unit = F.coalesce(F.col("by_unit"), F.col("by_assay"))
     return joined.select("activity_id", to_nanomolar(F.col("number"), unit).alias("nm"), unit["kind"].alias("kind"), "normalized_value_nm")
 
 
+#: Columns of the parsed tables that may name a unit.
+PRINTED, LITERATURE, ACTIVITIES = ("rest", "u"), ("rest", "u", "h"), ("u", "a")
+
+
+def aliases_of(*parts: tuple[DataFrame, tuple[str, ...]]) -> DataFrame:
+    """One alias dictionary for the phrases of several parsed tables."""
+    phrases = None
+    for parsed, columns in parts:
+        found = _phrases(parsed, *columns)
+        phrases = found if phrases is None else phrases.unionByName(found)
+    return alias_dictionary(phrases.distinct() if len(parts) > 1 else phrases)
+
+
+def printed_quantities(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
+    """``key, number, nm`` of a printed value with its own or its field's unit; both may be null."""
+    parsed = parsed_printed(rows, key, value, unit)
+    return printed_of(parsed, key, aliases_of((parsed, PRINTED)))
+
+
+def literature_quantities(rows: DataFrame) -> DataFrame:
+    """``value_id, nm, normalized_value_nm`` of extracted values that print one number.
+
+    The number is the one printed in ``value_text``; its own unit prevails over the unit
+    field, that over the header.  Ranges, alternatives and missing values have no row; ``nm`` is null
+    for percentages, mass per volume and where no unit is named.
+    """
+    parsed = parsed_literature(rows)
+    return literature_of(parsed, aliases_of((parsed, LITERATURE)))
+
+
+def database_quantities(rows: DataFrame) -> DataFrame:
+    """``activity_id, nm, kind, normalized_value_nm`` of activities; ``units`` prevails over the assay description."""
+    parsed = parsed_activities(rows)
+    return activities_of(parsed, aliases_of((parsed, ACTIVITIES)))
+
+
 def wrong(nm: Column, stored: Column, tolerance: float = 0.01) -> Column:
     """Whether the stored value is missing or off by more than ``tolerance`` of the converted one."""
     off = F.abs(stored - nm) > tolerance * F.abs(nm) * (1 + 1e-9)
     return nm.isNotNull() & (stored.isNull() | F.isnan(stored) | off)
 
 
+def quantities(extracted: DataFrame, activities: DataFrame) -> DataFrame:
+    """``tab, row_id, nm, stored`` of both tables, with one alias dictionary for all their phrases."""
+    a, b = parsed_literature(extracted), parsed_activities(activities)
+    aliases = aliases_of((a, LITERATURE), (b, ACTIVITIES))
+    parts = [("llm_extract", "value_id", literature_of(a, aliases)), ("chembl_activity", "activity_id", activities_of(b, aliases))]
+    shaped = [df.select(F.lit(name).alias("tab"), F.col(key).cast("long").alias("row_id"), "nm", F.col("normalized_value_nm").alias("stored")) for name, key, df in parts]
+    return shaped[0].unionByName(shaped[1])
+
+
 def misconverted(extracted: DataFrame, activities: DataFrame) -> DataFrame:
     """``tab, row_id`` of the rows whose stored nM value is missing or wrong."""
-    parts = []
-    for name, key, df in (("llm_extract", "value_id", literature_quantities(extracted)), ("chembl_activity", "activity_id", database_quantities(activities))):
-        hit = df.where(wrong(F.col("nm"), F.col("normalized_value_nm")))
-        parts.append(hit.select(F.lit(name).alias("tab"), F.col(key).cast("long").alias("row_id")))
-    return parts[0].unionByName(parts[1]).distinct()
+    return quantities(extracted, activities).where(wrong(F.col("nm"), F.col("stored"))).select("tab", "row_id").distinct()

@@ -19,10 +19,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p2_nanomolar(spark: SparkSession, folder: str) -> DataFrame:
     """The quantity in nM of every row that states one number, null where no conversion exists."""
-    a = units.literature_quantities(table(spark, folder, "llm_extract"))
-    b = units.database_quantities(table(spark, folder, "chembl_activity"))
-    rows = a.selectExpr("'llm_extract' tab", "value_id row_id", "nm")
-    return rows.unionByName(b.selectExpr("'chembl_activity' tab", "activity_id row_id", "nm")).distinct()
+    return units.quantities(table(spark, folder, "llm_extract"), table(spark, folder, "chembl_activity")).select("tab", "row_id", "nm").distinct()
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,12 +11,12 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters of other scripts that display like the ASCII letter.
+# Letters of other scripts (Greek, Cyrillic, Armenian, Cherokee, Coptic, Lisu, Roman numerals, small capitals) that display like the ASCII letter.
 TWINS = {
-    "A": "ΑА", "B": "ΒВ", "C": "ϹСⅭ", "D": "Ⅾ", "E": "ΕЕ", "H": "ΗН", "I": "ΙІⅠ", "J": "Ј", "K": "ΚК", "L": "Ⅼ",
-    "M": "ΜМⅯ", "N": "Ν", "O": "ΟО", "P": "ΡР", "S": "Ѕ", "T": "ΤТ", "V": "Ⅴ", "X": "ΧХⅩ", "Y": "ΥҮ", "Z": "Ζ",
-    "a": "аɑ", "c": "ϲсⅽ", "d": "ԁⅾ", "e": "е", "g": "ɡ", "h": "һ", "i": "іⅰ", "j": "јϳ", "l": "ӏⅼ", "m": "ⅿ", "o": "οо",
-    "p": "ρр", "q": "ԛ", "s": "ѕ", "v": "νⅴ", "w": "ԝ", "x": "хⅹ", "y": "у",
+    "A": "ΑАᎪⲀꓮ", "B": "ΒВᏴⲂꓐ", "C": "ϹСⅭᏟⲤꓚ", "D": "ⅮᎠꓓ", "E": "ΕЕᎬⲈꓰ", "F": "Ϝꓝ", "G": "ԌᏀꓖ", "H": "ΗНᎻⲎꓧ", "I": "ΙІⅠӀⲒꓲ", "J": "ЈᎫꓙ", "K": "ΚКᏦⲔꓗ", "L": "ⅬᏞꓡ",
+    "M": "ΜМⅯᎷⲘꓟ", "N": "ΝⲚꓠ", "O": "ΟОՕⲞꓳ", "P": "ΡРᏢⲢꓑ", "Q": "Ԛ", "R": "ᎡᏒꓣ", "S": "ЅՏᏕᏚꓢ", "T": "ΤТᎢⲦꓔ", "U": "Սꓴ", "V": "ⅤᏙꓦ", "W": "ԜᎳᏔꓪ", "X": "ΧХⅩⲬꓫ", "Y": "ΥҮᎩⲨꓬ", "Z": "ΖᏃⲌꓜ",
+    "a": "аɑ", "b": "Ꮟ", "c": "ϲсⅽⲥᴄ", "d": "ԁⅾᏧꓒ", "e": "е", "f": "ք", "g": "ɡց", "h": "һհᏂ", "i": "іⅰıɩᎥ", "j": "јϳյ", "l": "ӏⅼ", "m": "ⅿ", "n": "ո", "o": "οоօⲟᴏ",
+    "p": "ρрⲣ", "q": "ԛզգ", "s": "ѕꜱ", "u": "սᴜ", "v": "νⅴᴠ", "w": "ԝաᴡ", "x": "хⅹ", "y": "у", "z": "ᴢ",
 }
 # Dashes other than the hyphen-minus.
 DASHES = "‐‑‒–—―−﹘﹣－⁃"

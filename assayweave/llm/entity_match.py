@@ -7,17 +7,19 @@ rows of both tables are put in one global order and each is compared with those
 ``window`` places behind it.  Blocks are cut by position, not by key, with an overlap of
 one window, so every task gets equally many rows whatever the skew.
 
-Each compared pair gets field similarities and a weighted confidence.  The assignment
-gives each activity at most one record so that total confidence is greatest.  A record
-may have several activities, so this optimum decomposes by activity and is found exactly
-by one aggregation; ties prefer the record that no other activity claims.
+Each compared pair gets field similarities and a weighted confidence.  A database may hold
+one measurement several times, so activities of the same molecule, publication, target,
+type and digits are one entity.  Records and entities are assigned one to one with the
+greatest total confidence, and the members of an entity follow it, as do entities that are
+left over: that is how a record has several activities.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,16 +27,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayweave.functions.textfold import fold_text
+from assayweave.llm.splits import components
 from assayweave.operators import units
-from assayweave.session import settle
+from assayweave.operators.enrich import newest
+from assayweave.session import discard, settle
 
 WINDOW = 24
 BLOCK = 20_000
 
-# Counter-ions that don't change which compound is meant.
+# The usual counter-ions and solvates of drugs, which don't change the compound meant.
 SALTS = (
-    "hydrochloride hcl dihydrochloride hydrobromide hbr mesylate mesilate sodium potassium calcium tartrate maleate fumarate citrate phosphate sulfate sulphate "
-    "acetate succinate tosylate besylate besilate trifluoroacetate tfa malate lactate bromide chloride monohydrate hydrate dihydrate"
+    "acetate ammonium anhydrous benzoate besilate besylate bromide calcium chloride citrate dihydrate dihydrochloride edisylate esylate fumarate gluconate glutamate hbr hcl hemihydrate "
+    "hydrate hydrobromide hydrochloride iodide lactate lithium magnesium malate maleate meglumine mesilate mesylate monohydrate napsylate nitrate oxalate palmitate pamoate phosphate potassium "
+    "sesquihydrate sodium stearate succinate sulfate sulphate tartrate tfa tosylate trifluoroacetate trihydrate tromethamine zinc"
 ).split()
 _SALT = re.compile(rf"[\s,-]+(?:{'|'.join(SALTS)})(?:\s+salt)?$")
 _LOCAL = re.compile(r"(?:(?:compound|cpd|cmpd|ligand)\.?\s*)?\(?(\d+[a-z]\d*)\)?(?:\s+\((.+)\))?")
@@ -42,10 +47,18 @@ _NUMBERED = re.compile(r"\s*[\[(]\d+[a-z]?[\])]$")
 _CODED = re.compile(r"([a-z]{2,5}[\s-]*\d{3,})\s+\((.+)\)")
 _CODE = re.compile(r"[a-z]{2,5}\d{3,}")
 _ENANTIOMER = re.compile(r"^\(+([rs])\)+[\s-]*|^\(([rs])[\s-]+")
-_ISO = re.compile(r"(?:iso|iiso|isso|isoo|sio)(?=[a-z])")  # also with one doubled or swapped letter
 _DEUTERIUM = re.compile(r"[\s-]*d(\d{1,2})$")
 
 
+def iso_prefix(text: str) -> int:
+    """Length of an ``iso`` that begins a name, one letter of it doubled or two of them swapped at most; else 0."""
+    for length in (4, 3):
+        head = text[:length]
+        if set(head) == set("iso") and len(head) == length and spelling_distance(head, "iso", 1) <= 1:
+            return length
+    return 0
+
+
 def name_key(name: str) -> str:
     """A compound name without case, salts, numbering and separators.
 
@@ -61,10 +74,10 @@ def name_key(name: str) -> str:
     if hand:
         marks.append((hand[1] or hand[2]) * 5)
         text = text[hand.end() :]
-    branched = _ISO.match(text)
+    branched = iso_prefix(text)
     if branched and len(text) > 8:
         marks.append("iso" * 3)
-        text = text[branched.end() :]
+        text = text[branched:]
     heavy = _DEUTERIUM.search(text)
     if heavy and len(text) > 8:
         marks.append(f"ddddd{heavy[1]}")
@@ -114,12 +127,6 @@ def measurement_kind(text: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(text), r"[\s_.\-{}]+", ""), "(app|apparent)$", ""), F.lit(""))
 
 
-def _latest(df: DataFrame, key: str, version: str, columns: list[str]) -> DataFrame:
-    """One row per key, that with the latest version."""
-    best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(version, *columns)).alias("b"))
-    return best.select(key, *[F.col("b")[c].alias(c) for c in columns])
-
-
 def _filled(df: DataFrame, group: str) -> DataFrame:
     """``pub`` filled from rows of the same ``group`` where a row lacks it."""
     known = df.where(F.col("pub").isNotNull() & F.col(group).isNotNull()).groupBy(group).agg(F.min("pub").alias("__p"))
@@ -139,11 +146,22 @@ def _with_names(df: DataFrame, label: str) -> DataFrame:
     return df.mapInPandas(run, f"{fields}, local string, names array<string>")
 
 
-def record_entities(records: DataFrame) -> DataFrame:
-    """``id, pub, target, kind, year, local, names, number, nm`` of the latest row of each id."""
-    columns = ["pmcid", "doi", "pub_year", "compound_label", "target_key", "measurement_type", "raw_value", "unit", "value_num", "normalized_value_nm"]
-    rows = settle(_latest(records, "id", "exported_at", columns), "records")
-    printed = units.printed_quantities(rows, "id", "raw_value", "unit").withColumnRenamed("id", "__id")
+RECORD = "id pmcid doi pub_year compound_label target_key measurement_type raw_value unit value_num normalized_value_nm".split()
+ACTIVITY = "activity_id molecule_id pref_name endpoint value_num units normalized_value_nm target_key assay_description document_id doi pub_year".split()
+
+
+def entities(records: DataFrame, activities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`record_entities` and :func:`activity_entities` of the latest rows, with one dictionary of units for both."""
+    a = settle(newest(records.where(F.col("id").isNotNull()), "id", "exported_at", RECORD), "records")
+    b = settle(newest(activities.where(F.col("activity_id").isNotNull()), "activity_id", "loaded_at", ACTIVITY), "activities")
+    printed, folded = units.parsed_printed(a, "id", "raw_value", "unit"), units.parsed_activities(b)
+    aliases = units.aliases_of((printed, units.PRINTED), (folded, units.ACTIVITIES))
+    return record_entities(a, units.printed_of(printed, "id", aliases)), activity_entities(b, units.activities_of(folded, aliases))
+
+
+def record_entities(rows: DataFrame, quantities: DataFrame) -> DataFrame:
+    """``id, pub, target, kind, year, local, names, number, nm`` of each record."""
+    printed = quantities.withColumnRenamed("id", "__id")
     joined = rows.join(printed, F.col("id") == F.col("__id"), "left").withColumn("pub", canonical_doi(F.col("doi")))
     number = F.coalesce("number", "value_num")
     nm = F.coalesce("nm", F.when(F.col("unit").isNotNull(), F.col("normalized_value_nm")))
@@ -159,11 +177,9 @@ def record_entities(records: DataFrame) -> DataFrame:
     return both.withColumn("names", F.array_union("names", F.coalesce("more", F.array().cast("array<string>")))).drop("more", "__pub", "__local")
 
 
-def activity_entities(activities: DataFrame) -> DataFrame:
+def activity_entities(rows: DataFrame, quantities: DataFrame) -> DataFrame:
     """``activity_id, molecule, pub, target, kind, year, local, names, number, nm, logs`` of each activity."""
-    columns = ["molecule_id", "pref_name", "endpoint", "value_num", "units", "normalized_value_nm", "target_key", "assay_description", "document_id", "doi", "pub_year"]
-    rows = settle(_latest(activities, "activity_id", "loaded_at", columns), "activities")
-    quantity = units.database_quantities(rows).select(F.col("activity_id").alias("__id"), "nm", "kind")
+    quantity = quantities.select(F.col("activity_id").alias("__id"), "nm", "kind")
     joined = rows.join(quantity.withColumnRenamed("kind", "scale"), F.col("activity_id") == F.col("__id"), "left").withColumn("pub", canonical_doi(F.col("doi")))
     shaped = _filled(joined, "document_id").select(
         "activity_id", F.col("molecule_id").alias("molecule"), "pub", F.col("target_key").alias("target"), measurement_kind(F.col("endpoint")).alias("kind"),
@@ -190,13 +206,20 @@ def _stacked(records: DataFrame, activities: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def sort_keys() -> dict[str, list[Column]]:
-    """The composite sort keys; the leading digits of a value meet whatever its unit error."""
+def digits(value: Column) -> Column:
+    """The leading digits of a positive value, which stay the same whatever the error of its unit; null without one."""
+    return F.round(value / F.pow(F.lit(10.0), F.floor(F.log10(value))), 4)
+
+
+def sort_keys() -> dict[str, tuple[list[Column], bool]]:
+    """The composite sort keys, and whether rows enter once for each of their names."""
     pub, target, kind = (F.coalesce(F.col(c), F.lit("")) for c in ("pub", "target", "kind"))
-    name = F.coalesce(F.get("names", F.lit(0)), F.concat(F.lit("#"), "local"), F.lit("~"))
-    value = F.coalesce("nm", "number")
-    digits = F.coalesce(F.round(value / F.pow(F.lit(10.0), F.floor(F.log10(value))), 4), F.lit(0.0))
-    return {"publication, target, digits": [pub, target, digits, kind, name], "publication, target, name": [pub, target, name, kind, digits], "name, target, digits": [name, target, kind, digits, pub]}
+    name = F.coalesce(F.col("__name"), F.concat(F.lit("#"), "local"), F.lit("~"))
+    value = F.coalesce(digits(F.coalesce("nm", "number")), F.lit(0.0))
+    return {
+        "publication, target, digits": ([pub, target, value, kind, name], False), "publication, target, name": ([pub, target, name, kind, value], True),
+        "name, target, digits": ([name, target, kind, value, pub], True),
+    }
 
 
 def neighbourhoods(rows: DataFrame, order: list[Column], window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -266,32 +289,35 @@ def name_grade(a: list[str], b: list[str], local_a: str | None, local_b: str | N
     return NAME_CLOSE if best <= 2 else NAME_NEAR if best == 3 else NAME_OTHER
 
 
-def _significant(x: float, n: int) -> float:
-    return float(f"{x:.{n - 1}e}")
+def two_figures(values: np.ndarray) -> np.ndarray:
+    """Each value at two significant figures, NaN where it is missing."""
+    return np.array([float(f"{x:.1e}") if x == x else np.nan for x in values])
+
+
+def value_grades(nm_a: np.ndarray, number_a: np.ndarray, nm_b: np.ndarray, number_b: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """How well pairs of values agree; NaN stands for a missing one, ``logs`` says that the second came from a logarithm."""
+    near = lambda ratio: np.abs(ratio - 1) < 1e-6
+    with np.errstate(invalid="ignore", divide="ignore"):
+        two_a, two_b, apart = two_figures(nm_a), two_figures(nm_b), np.log10(nm_a / nm_b)
+        off = np.abs(apart - np.rint(apart))
+        in_nm = np.select(
+            [
+                np.abs(nm_a - nm_b) / np.maximum(nm_a, nm_b) <= 0.002, near(two_a / nm_b) | near(two_b / nm_a) | (logs & (np.abs(apart) <= 0.0056)),
+                (off <= np.where(logs, 0.0056, 0.001)) | near(two_a / two_b / 10.0 ** np.rint(apart)),
+            ],
+            [VALUE_EQUAL, VALUE_ROUNDED, VALUE_SHIFTED], VALUE_OTHER,
+        )
+        apart = np.log10(number_a / number_b)
+        places = np.rint(apart)
+        rounded = near(two_figures(number_a) / (number_b * 10.0**places)) | near(two_figures(number_b) * 10.0**places / number_a)
+        plain = np.where((np.abs(apart - places) <= 0.001) | (rounded & (places % 3 == 0)), VALUE_DIGITS, VALUE_UNKNOWN)
+    plain = np.where(np.isnan(number_a) | np.isnan(number_b), VALUE_UNKNOWN, plain)
+    return np.where(np.isnan(nm_a) | np.isnan(nm_b), plain, in_nm)
 
 
 def value_grade(nm_a: float, number_a: float, nm_b: float, number_b: float, logs: bool) -> int:
-    """How well two values agree; NaN stands for a missing one."""
-    if nm_a == nm_a and nm_b == nm_b:
-        off = abs(nm_a - nm_b) / max(nm_a, nm_b)
-        if off <= 0.002:
-            return VALUE_EQUAL
-        if abs(_significant(nm_a, 2) / nm_b - 1) < 1e-6 or abs(_significant(nm_b, 2) / nm_a - 1) < 1e-6:
-            return VALUE_ROUNDED
-        apart = math.log10(nm_a / nm_b)
-        if logs and abs(apart) <= 0.0056:
-            return VALUE_ROUNDED
-        if abs(apart - round(apart)) <= (0.0056 if logs else 0.001):
-            return VALUE_SHIFTED
-        if abs(_significant(nm_a, 2) / _significant(nm_b, 2) / 10 ** round(apart) - 1) < 1e-6:
-            return VALUE_SHIFTED
-        return VALUE_OTHER
-    if number_a != number_a or number_b != number_b:
-        return VALUE_UNKNOWN
-    apart = math.log10(number_a / number_b)
-    scale = 10.0 ** round(apart)
-    rounded = abs(_significant(number_a, 2) / (number_b * scale) - 1) < 1e-6 or abs(_significant(number_b, 2) * scale / number_a - 1) < 1e-6
-    return VALUE_DIGITS if abs(apart - round(apart)) <= 0.001 or (rounded and round(apart) % 3 == 0) else VALUE_UNKNOWN
+    """:func:`value_grades` of one pair."""
+    return int(value_grades(*(np.array([x], dtype=float) for x in (nm_a, number_a, nm_b, number_b)), np.array([logs]))[0])
 
 
 PAIR = "id string, activity_id long, molecule string, pub string, name_grade int, value_grade int, same_kind boolean, same_pub boolean, confidence double"
@@ -305,35 +331,48 @@ def compare_block(pdf: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
     names, local = [list(x) for x in pdf["names"]], [x if isinstance(x, str) else None for x in pdf["local"]]
     nm, number, logs = pdf["nm"].to_numpy(float), pdf["number"].to_numpy(float), pdf["logs"].to_numpy(bool)
     keys, molecules, pubs = pdf["key"].to_numpy(), pdf["molecule"].to_numpy(), pdf["pub"].to_numpy()
-    rows = []
+    shown = [(tuple(x), y) for x, y in zip(names, local)]
+    code, known = pd.factorize(pd.Series(shown, dtype=object)) if n else (np.array([], dtype=int), [])
+    one, two, sure = [], [], []
     for k in range(1, min(window, n - 1) + 1):
         i, j = np.arange(n - k), np.arange(k, n)
         same_pub = (pub[i] == pub[j]) & (pub[i] >= 0)
         open_pub = ((pub[i] < 0) | (pub[j] < 0)) & (year[i] == year[j]) & (year[i] >= 0)
         open_kind = (kind[i] == kind[j]) | (kind[i] < 0) | (kind[j] < 0)
         keep = (side[i] != side[j]) & (same_pub | open_pub) & (target[i] == target[j]) & (target[i] >= 0) & open_kind
-        for a, b, sure in zip(i[keep], j[keep], same_pub[keep]):
-            if side[a]:
-                a, b = b, a
-            name = name_grade(names[a], names[b], local[a], local[b])
-            if name == NAME_OTHER:
-                continue
-            value = value_grade(nm[a], number[a], nm[b], number[b], bool(logs[b]))
-            same_kind = bool(kind[a] == kind[b] and kind[a] >= 0)
-            score = (
-                WEIGHTS["name"] * NAME_SCORE[name] + WEIGHTS["value"] * VALUE_SCORE[value]
-                + WEIGHTS["kind"] * (1.0 if same_kind else 0.5) + WEIGHTS["publication"] * (1.0 if sure else 0.5)
-            )
-            rows.append((keys[a], int(keys[b]), molecules[b], pubs[a], name, value, same_kind, bool(sure), score))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in PAIR.split(", ")])
+        one.append(i[keep]), two.append(j[keep]), sure.append(same_pub[keep])
+    columns = [c.split()[0] for c in PAIR.split(", ")]
+    i, j, sure = (np.concatenate(x) if x else np.array([], dtype=int) for x in (one, two, sure))
+    if not len(i):
+        return pd.DataFrame(columns=columns)
+    a, b, sure = np.where(side[i] == 0, i, j), np.where(side[i] == 0, j, i), sure.astype(bool)
+    # names repeat a lot: each distinct pair of them is graded once
+    pairs, back = np.unique(code[a].astype(np.int64) * len(known) + code[b], return_inverse=True)
+    graded = np.array([_grade(known[p // len(known)], known[p % len(known)]) for p in pairs], dtype=int)[back]
+    told = graded != NAME_OTHER
+    a, b, sure, name = a[told], b[told], sure[told], graded[told]
+    value = value_grades(nm[a], number[a], nm[b], number[b], logs[b])
+    same_kind = (kind[a] == kind[b]) & (kind[a] >= 0)
+    score = (
+        WEIGHTS["name"] * np.array(NAME_SCORE)[name] + WEIGHTS["value"] * np.array(VALUE_SCORE)[value]
+        + WEIGHTS["kind"] * np.where(same_kind, 1.0, 0.5) + WEIGHTS["publication"] * np.where(sure, 1.0, 0.5)
+    )
+    out = (keys[a], keys[b].astype(np.int64) if len(b) else np.array([], dtype=np.int64), molecules[b], pubs[a], name, value, same_kind, sure, score)
+    return pd.DataFrame(dict(zip(columns, out))).drop_duplicates(["id", "activity_id"])
+
+
+@lru_cache(maxsize=200_000)
+def _grade(a: tuple[tuple[str, ...], str | None], b: tuple[tuple[str, ...], str | None]) -> int:
+    return name_grade(list(a[0]), list(b[0]), a[1], b[1])
 
 
 def candidate_pairs(records: DataFrame, activities: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """Distinct compared pairs (:data:`PAIR`) of both entity tables whose names don't contradict."""
     rows = settle(_stacked(records, activities), "entities")
     found = None
-    for order in sort_keys().values():
-        near = neighbourhoods(rows, order, window, block).groupBy("__block").applyInPandas(lambda pdf: compare_block(pdf, window), PAIR)
+    for order, by_name in sort_keys().values():
+        once = rows.withColumn("__name", F.explode_outer("names") if by_name else F.get("names", F.lit(0)))
+        near = neighbourhoods(once, order, window, block).groupBy("__block").applyInPandas(lambda pdf: compare_block(pdf, window), PAIR)
         found = near if found is None else found.unionByName(near)
     return settle(found.distinct(), "pairs")
 
@@ -355,13 +394,13 @@ def _sure(name: Column, value: Column, same_kind: Column, same_pub: Column) -> C
 
 
 def match_entities(records: DataFrame, activities: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """``id, activity_id, confidence``: each activity with its record.
+    """``id, activity_id, confidence``: records with their activities.
 
+    One to one, but for activities that are the same measurement, which follow one another.
     Null ids and rows without a target match nothing; rows without a name match by their
     value inside their publication.  Extra columns are ignored, empty tables give no rows.
     """
-    own, theirs = record_entities(records), activity_entities(activities)
-    own = settle(own, "own")
+    own, theirs = (settle(df, name) for df, name in zip(entities(records, activities), ("own", "theirs")))
     pairs = candidate_pairs(own, theirs, window, block)
     name, value, same_kind, same_pub = (F.col(c) for c in ("name_grade", "value_grade", "same_kind", "same_pub"))
     # a nameless molecule found by one of its values names its other rows in that publication
@@ -378,15 +417,149 @@ def match_entities(records: DataFrame, activities: DataFrame, window: int = WIND
         F.when(F.col("__c").isNotNull(), F.lit(NAME_CLOSE)).otherwise(name).alias("name_grade"),
         F.when(F.col("__c").isNotNull(), F.col("confidence") + gain).otherwise(F.col("confidence")).alias("confidence"),
     )
-    accepted = settle(learned.where(_sure(name, value, same_kind, same_pub)), "accepted")
-    return assign(accepted)
-
-
-def assign(pairs: DataFrame) -> DataFrame:
-    """``id, activity_id, confidence``: one record for each activity, total confidence greatest."""
-    top = pairs.groupBy("activity_id").agg(F.max("confidence").alias("__top"), F.count("*").alias("__n"))
-    # a record that is the only choice of another activity is the second choice among equals
-    claims = pairs.join(top.where(F.col("__n") == 1).select("activity_id"), "activity_id", "left_semi").groupBy("id").agg(F.count("*").alias("__claims"))
-    ranked = pairs.join(claims, "id", "left").withColumn("__claims", F.coalesce("__claims", F.lit(0)))
-    best = ranked.groupBy("activity_id").agg(F.max(F.struct("confidence", (-F.col("__claims")).alias("c"), "id")).alias("b"))
-    return best.select("b.id", "activity_id", F.round("b.confidence", 6).alias("confidence"))
+    accepted = settle(learned.where(_sure(name, value, same_kind, same_pub)).select("id", "activity_id", "confidence"), "accepted")
+    return assign(accepted, same_measurements(theirs))
+
+
+def same_measurements(activities: DataFrame) -> DataFrame:
+    """``activity_id, entity``: activities of one molecule, publication, target, type and digits are one entity, named by the least of them.
+
+    An activity that lacks any of these is an entity of its own.
+    """
+    alike = [F.col("molecule"), F.col("pub"), F.col("target"), F.col("kind"), digits(F.coalesce("nm", "number")).cast("string")]
+    whole = F.lit(True)
+    for c in alike:
+        whole = whole & c.isNotNull()
+    keyed = activities.select("activity_id", F.when(whole, F.xxhash64(*alike)).alias("h"), F.when(whole, F.concat_ws("|", *alike)).alias("k"))
+    named = keyed.where(F.col("k").isNotNull()).groupBy("h", "k").agg(F.min("activity_id").alias("entity"))
+    joined = keyed.alias("a").join(named.alias("n"), (F.col("a.h") == F.col("n.h")) & (F.col("a.k") == F.col("n.k")), "left")
+    return joined.select("a.activity_id", F.coalesce("n.entity", "a.activity_id").alias("entity"))
+
+
+#: Confidences are whole numbers of these steps in the assignment.
+STEPS = 10_000
+#: Edges up to which one task solves a component exactly; larger ones are solved by bids over all tasks.
+LARGE = 20_000
+
+
+def assign(pairs: DataFrame, members: DataFrame, large: int = LARGE) -> DataFrame:
+    """``id, activity_id, confidence``: records and entities one to one with the greatest total confidence, members following.
+
+    ``pairs``: id, activity_id, confidence.  ``members``: activity_id, entity.  An entity
+    that the assignment leaves over is one more entry, with another value, of the
+    measurement of the record it pairs best with, and follows that record; ties go to the
+    smaller id.
+    """
+    joined = pairs.join(members, "activity_id")
+    edges = settle(joined.groupBy("id", "entity").agg(F.max("confidence").alias("confidence")), "edges")
+    taken = settle(one_to_one(edges, large), "taken")
+    over = edges.join(taken.select("entity"), "entity", "left_anti").groupBy("entity").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "id")).alias("b"))
+    chosen = taken.join(edges, ["id", "entity"]).select("id", "entity", "confidence").unionByName(over.select("b.id", "entity", (-F.col("b.c")).alias("confidence")))
+    own = joined.select("id", "activity_id", F.col("confidence").alias("__own"))
+    out = chosen.join(members, "entity").join(own, ["id", "activity_id"], "left")
+    return out.select("id", "activity_id", F.round(F.coalesce("__own", "confidence"), 6).alias("confidence"))
+
+
+def one_to_one(edges: DataFrame, large: int = LARGE) -> DataFrame:
+    """``id, entity`` of the one-to-one assignment with the greatest total ``confidence``.
+
+    A pair that competes with no other is taken as it is.  The others form connected
+    components, which are independent of each other: each is solved exactly by augmenting
+    paths, or, above ``large`` edges, by an auction, whose total is less than the greatest
+    by at most :data:`BID` steps for each entity.
+    """
+    of_id, of_entity = (edges.groupBy(c).agg(F.count("*").alias(f"__{c}")) for c in ("id", "entity"))
+    ranked = edges.join(of_id, "id").join(of_entity, "entity").withColumn("w", F.round(F.col("confidence") * STEPS).cast("long"))
+    ranked = settle(ranked, "ranked")
+    alone = (F.col("__id") == 1) & (F.col("__entity") == 1)
+    contested = ranked.where(~alone).select("id", "entity", "w")
+    links = contested.select(F.concat(F.lit("e"), F.col("entity").cast("string")).alias("u"), F.concat(F.lit("r"), "id").alias("v"))
+    found = components(links).withColumnRenamed("node", "__node")
+    grouped = settle(contested.join(found, F.concat(F.lit("r"), "id") == F.col("__node")).drop("__node"), "contested")
+    sizes = grouped.groupBy("component").agg(F.count("*").alias("n"))
+    small = grouped.join(sizes.where(F.col("n") <= large).select("component"), "component", "left_semi")
+    taken = ranked.where(alone).select("id", "entity").unionByName(small.groupBy("component").applyInPandas(best_assignment, "id string, entity long"))
+    big = sizes.where(F.col("n") > large).select("component")
+    if big.limit(1).count():
+        taken = taken.unionByName(auction(grouped.join(big, "component", "left_semi").select("id", "entity", "w")))
+    return taken
+
+
+def best_assignment(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One-to-one pairs ``id, entity`` of the greatest total ``w``, by successive best augmenting paths.
+
+    Ties go to the smaller ids.  Entities enter one by one; a path may leave another entity
+    without a record if that is worth more.
+    """
+    pdf = pdf.sort_values(["entity", "id"])
+    entities_, ids = pdf["entity"].unique(), pdf["id"].unique()
+    place = {x: n for n, x in enumerate(ids)}
+    wanted: list[list[tuple[int, int]]] = [[] for _ in entities_]
+    of = {x: n for n, x in enumerate(entities_)}
+    for entity, own, w in zip(pdf["entity"], pdf["id"], pdf["w"]):
+        wanted[of[entity]].append((place[own], int(w)))
+    holder, held = [-1] * len(ids), [-1] * len(entities_)
+    weight = [dict(x) for x in wanted]
+    for first in range(len(entities_)):
+        # gain[e]: what the matching gains if e is the one left free, after moves along a path from the new entity
+        gain, come, queue = {first: 0}, {first: (-1, -1)}, deque([first])
+        best, end = 0, (first, -1)
+        while queue:
+            e = queue.popleft()
+            for r, w in wanted[e]:
+                reached = gain[e] + w
+                other = holder[r]
+                if other == e:
+                    continue
+                if other < 0:
+                    if reached > best:
+                        best, end = reached, (e, r)
+                    continue
+                left = reached - weight[other][r]
+                if left > gain.get(other, -(1 << 60)):
+                    gain[other], come[other] = left, (e, r)
+                    queue.append(other)
+                    if left > best:
+                        best, end = left, (other, -1)
+        if best <= 0:
+            continue
+        node, r = end
+        if r >= 0:
+            moves = [(node, r)]
+        else:  # this entity gives its record up
+            moves, held[node] = [], -1
+        while node != first:
+            node, r = come[node]
+            moves.append((node, r))
+        for e, r in moves:
+            holder[r], held[e] = e, r
+    rows = [(ids[r], int(entities_[e])) for e, r in enumerate(held) if r >= 0]
+    return pd.DataFrame(rows, columns=["id", "entity"])
+
+
+#: Step by which bids of the auction rise above the second best offer.
+BID = 25
+
+
+def auction(edges: DataFrame, bid: int = BID) -> DataFrame:
+    """``id, entity`` of a one-to-one assignment by an auction in rounds; each round is a few aggregations over all tasks.
+
+    Entities without a record bid for their best one, as much as it is worth to them beyond
+    the second best; each record goes to the highest bidder.
+    """
+    edges = settle(edges, "bidders")
+    spark = edges.sparkSession
+    owned = settle(spark.createDataFrame([], "id string, entity long, price long"), "owned")
+    while True:
+        free = edges.join(owned.select("entity"), "entity", "left_anti").join(owned.select("id", "price"), "id", "left")
+        offers = free.withColumn("net", F.col("w") - F.coalesce("price", F.lit(0)))
+        top = offers.groupBy("entity").agg(F.max(F.struct("net", "id", "w")).alias("b"))
+        second = offers.join(top, "entity").where(F.col("id") != F.col("b.id")).groupBy("entity").agg(F.max("net").alias("second"))
+        raised = F.col("b.w") - F.greatest(F.coalesce("second", F.lit(0)), F.lit(0)) + bid
+        bids = top.where(F.col("b.net") > 0).join(second, "entity", "left").select(F.col("b.id").alias("id"), "entity", raised.alias("price"))
+        won = settle(bids.groupBy("id").agg(F.max(F.struct("price", "entity")).alias("b")).select("id", "b.entity", "b.price"), "won")
+        if not won.limit(1).count():
+            return owned.select("id", "entity")
+        before, owned = owned, settle(owned.join(won.select("id"), "id", "left_anti").unionByName(won), "owned")
+        discard(before)
+        discard(won)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-import itertools
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,8 +79,7 @@ def test_windows_find_what_all_pairs_find(spark):
             if rng.random() < 0.7:
                 activities.append(act(len(activities) + 1, rng.choice([name.upper(), None]), value, target=f"T{n % 3}", doi=f"10.1234/p.{p}", document=f"D{p}", kind=records[-1][6] or "Ki"))
     found = match(spark, records, activities, window=40, block=45)
-    own = em.record_entities(spark.createDataFrame(records, RECORDS))
-    theirs = em.activity_entities(spark.createDataFrame(activities, ACTIVITIES))
+    own, theirs = em.entities(spark.createDataFrame(records, RECORDS), spark.createDataFrame(activities, ACTIVITIES))
     whole = em._stacked(own, theirs).toPandas()
     whole["__place"] = range(len(whole))
     every = em.compare_block(whole, window=len(whole))
@@ -89,19 +88,79 @@ def test_windows_find_what_all_pairs_find(spark):
     assert len({a for _, a in found}) == len(found) and len(found) >= 0.9 * len(activities)
 
 
-def test_assignment_is_optimal(spark):
+def greatest_total(edges):
+    """The greatest total of a one-to-one choice of edges, by trying all."""
+    if not edges:
+        return 0
+    (r, e, w), rest = edges[0], edges[1:]
+    return max(greatest_total(rest), w + greatest_total([x for x in rest if x[0] != r and x[1] != e]))
+
+
+def random_edges(rng, group, most):
+    return [(f"{group}-{r}", group * 100 + e, round(rng.choice((0.5, 0.75, 0.9, rng.random())), 2)) for e in range(rng.randint(1, 5)) for r in rng.sample(range(5), rng.randint(1, most))]
+
+
+@pytest.mark.parametrize("large", [em.LARGE, 0])
+def test_one_to_one_assignment_is_optimal(spark, large):
     rng = random.Random(3)
-    edges = [(f"r{r}", a, round(rng.random(), 3)) for a in range(5) for r in rng.sample(range(4), 2)]
+    groups = [random_edges(rng, g, 3) for g in range(30 if large else 4)]
+    df = spark.createDataFrame([x for g in groups for x in g], "id string, entity long, confidence double")
+    got = [tuple(r) for r in em.one_to_one(df, large).select("id", "entity").collect()]
+    assert len({i for i, _ in got}) == len({e for _, e in got}) == len(got)
+    weight = {(i, e): w for g in groups for i, e, w in g}
+    for g in groups:
+        mine = sum(weight[x] for x in got if x[0].split("-")[0] == g[0][0].split("-")[0])
+        slack = 0 if large else em.BID / em.STEPS * len({e for _, e, _ in g})
+        assert greatest_total(g) - slack - 1e-9 <= mine <= greatest_total(g) + 1e-9
+
+
+def test_assignment_of_many_random_components(spark):
+    rng = random.Random(4)
+    for g in range(300):
+        edges = random_edges(rng, g, 4)
+        pdf = pd.DataFrame(edges, columns=["id", "entity", "c"]).assign(w=lambda d: (d.c * 1000).round().astype(int))
+        got = {tuple(x) for x in em.best_assignment(pdf).itertuples(index=False)}
+        assert len({i for i, _ in got}) == len({e for _, e in got}) == len(got)
+        assert sum(w for i, e, _, w in pdf.itertuples(index=False) if (i, e) in got) == greatest_total([(i, e, w) for i, e, _, w in pdf.itertuples(index=False)])
+
+
+def test_members_and_entities_left_over_follow_their_record(spark):
+    pairs = spark.createDataFrame([("a", 1, 0.9), ("a", 3, 0.8), ("a", 4, 0.7), ("b", 4, 0.6), ("b", 5, 0.95)], "id string, activity_id long, confidence double")
+    members = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 4), (5, 5)], "activity_id long, entity long")
+    got = {(r["id"], r["activity_id"]): r["confidence"] for r in em.assign(pairs, members).collect()}
+    assert got == {("a", 1): 0.9, ("a", 2): 0.9, ("a", 3): 0.8, ("a", 4): 0.7, ("b", 5): 0.95}
+
+
+def test_activities_of_one_measurement(spark):
+    rows = [(1, "M", "p", "T", "ki", 10.0), (2, "M", "p", "T", "ki", 1000.0), (3, "M", "p", "T", "ki", 11.0), (4, None, "p", "T", "ki", 10.0), (5, "M", None, "T", "ki", 10.0), (6, "M", "p", "T", "ki", None)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "activity_id long, molecule string, pub string, target string, kind string, nm double, number double")
+    assert {r["activity_id"]: r["entity"] for r in em.same_measurements(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6}
+
+
+def assigned(spark, edges):
     df = spark.createDataFrame(edges, "id string, activity_id long, confidence double")
-    got = {r["activity_id"]: (r["id"], r["confidence"]) for r in em.assign(df).collect()}
-    options = [[(i, c) for i, a, c in edges if a == n] for n in range(5)]
-    best = max(sum(c for _, c in choice) for choice in itertools.product(*options))
-    assert sum(c for _, c in got.values()) == pytest.approx(best)
+    return em.assign(df, df.select("activity_id", F.col("activity_id").alias("entity")).distinct())
 
 
 def test_ties_prefer_the_unclaimed_record(spark):
-    df = spark.createDataFrame([("a", 1, 0.9), ("a", 2, 0.8), ("b", 2, 0.8)], "id string, activity_id long, confidence double")
-    assert {(r["id"], r["activity_id"]) for r in em.assign(df).collect()} == {("a", 1), ("b", 2)}
+    assert {(r["id"], r["activity_id"]) for r in assigned(spark, [("a", 1, 0.9), ("a", 2, 0.8), ("b", 2, 0.8)]).collect()} == {("a", 1), ("b", 2)}
+    assert assigned(spark, []).count() == 0
+
+
+VALUES = [
+    (10.0, 10.0, 10.0, 10.0, False, em.VALUE_EQUAL), (14.4, 1, 14.0, 1, False, em.VALUE_ROUNDED), (14.4, 1, 1440.0, 1, False, em.VALUE_SHIFTED), (14.4, 1, 14000.0, 1, False, em.VALUE_SHIFTED), (14.4, 1, 17.0, 1, False, em.VALUE_OTHER),
+    (104.0, 1, 105.2, 1, True, em.VALUE_ROUNDED), (104.0, 1, 105.2, 1, False, em.VALUE_OTHER), (float("nan"), 14.4, 5.0, 14.4, False, em.VALUE_DIGITS), (float("nan"), 14.4, 5.0, 14000.0, False, em.VALUE_DIGITS),
+    (float("nan"), 14.4, 5.0, 1400.0, False, em.VALUE_UNKNOWN), (float("nan"), float("nan"), 5.0, 5.0, False, em.VALUE_UNKNOWN), (5.0, 5.0, float("nan"), 7.0, False, em.VALUE_UNKNOWN),
+]
+
+
+def test_value_grades():
+    for *values, expected in VALUES:
+        assert em.value_grade(*values) == expected, values
+
+
+def test_iso_prefixes():
+    assert [em.iso_prefix(x) for x in ("isofenib", "siofenib", "iisofenib", "issofenib", "isoofenib", "sofenib", "osofenib", "nisofenib", "")] == [3, 3, 4, 4, 4, 0, 0, 0, 0]
 
 
 def test_blocks_cover_the_order_evenly(spark):

@@ -177,16 +177,13 @@ def _runs(text: str, roles: str, start: int, stop: int, table: dict[str, int]) -
             continue
 
 
-MOST_PASSES = 3
-
-
 def repair_multibyte(text: str) -> tuple[str, bool]:
-    """``(text with the damaged spans decoded, whether there were any)``; undoes up to three layers."""
+    """``(text with the damaged spans decoded, whether there were any)``.
+
+    Layers are undone until no span is left; each pass shortens the text, so it ends.
+    """
     hit = False
-    for _ in range(MOST_PASSES):
-        found = damaged_spans(text)
-        if not found:
-            break
+    while found := damaged_spans(text):
         hit = True
         found.sort(key=lambda s: (s[0], -(s[1] - s[0])))
         out, at = [], 0
@@ -341,7 +338,8 @@ def _seen(documents: DataFrame, key: str, text: str) -> DataFrame:
                 found += here.keys()
                 words += here.values()
                 copies += [copy] * len(here)
-            yield pd.DataFrame({key: pd.array(keys, dtype=pdf[key].dtype), "context": found, "word": words, "copy": copies})
+            if keys:  # a batch of plain texts has no rows
+                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "context": found, "word": words, "copy": copies})
 
     kind = documents.schema[key].dataType.simpleString()
     return documents.select(key, text, F.xxhash64(text).alias("copy")).mapInPandas(run, f"{key} {kind}, context string, word string, copy long")
@@ -414,7 +412,7 @@ def restore(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """``key, restored, complete`` of the garbled documents.
 
     Multibyte spans are decoded and garbled words replaced by their counterparts.
-    ``complete`` is false if characters remain that no correct text holds.
+    ``complete`` is false if damaged spans, or characters that no correct text holds, remain.
     """
     seen = settle(_seen(documents, key, text), "contexts")
     hits = seen.where(F.col("context").isNull()).select(key).distinct()
@@ -429,7 +427,7 @@ def restore(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 repaired, _ = repair_multibyte(value)
                 known = {p["context"]: p["fixed"] for p in pairs} if pairs is not None else {}
                 done = replace_words(repaired, known)
-                out.append((own, done, not has_control(done)))
+                out.append((own, done, not has_control(done) and not damaged_spans(done)))
             yield pd.DataFrame(out, columns=[key, "restored", "complete"])
 
     return documents.select(key, text).join(wanted, key).mapInPandas(run, f"{key} {kind}, restored string, complete boolean")

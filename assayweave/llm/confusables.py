@@ -1,7 +1,7 @@
 """Text that displays alike brought to one form (problem 6).
 
 Each letter of a token has a set of scripts it can be resolved to: its own, and Latin
-(or Greek, Cyrillic) where it has a twin there.  The sets of a token are intersected.
+(or Greek, Cyrillic, Armenian, Cherokee, Coptic, Lisu) where it has a twin there.  The sets of a token are intersected.
 If Latin survives, the token is spelled in Latin: that mends mixed tokens (``hCΑX2``) and
 tokens wholly of another script whose letters all have Latin twins.  If another script
 survives, because a letter has no Latin twin, the token is a foreign word and keeps, or
@@ -38,26 +38,30 @@ _DASH = set(DASHES) | {chr(c) for c in range(0x80, 0x10000) if unicodedata.categ
 _LETTERS = re.compile(r"[^\W\d_](?:[^\W_]|[̀-ͯ])*|\d+[^\W\d_](?:[^\W_]|[̀-ͯ])*")
 
 
+#: Scripts that are told apart: Latin and those with letters that display like Latin ones.
+SCRIPTS = ("Latin", "Greek", "Cyrillic", "Armenian", "Cherokee", "Coptic", "Lisu")
+
+
 def script_of(ch: str) -> str:
     """Script of a letter, ``Common`` for anything else."""
     if not ch.isalpha() or ch == MICRO or _KEEP.match(ch):
         return "Common"
     if ch.isascii():
         return "Latin"
-    return {"LATIN": "Latin", "GREEK": "Greek", "CYRILLIC": "Cyrillic"}.get(unicodedata.name(ch, "").split(" ")[0], "Other")
+    name = unicodedata.name(ch, "").split(" ")[0].title()
+    return name if name in SCRIPTS else "Other"
 
 
 def _twin_table() -> dict[str, dict[str, str]]:
-    """Script to spelling: Latin twins as given, and back from Latin to the other two."""
-    table: dict[str, dict[str, str]] = {"Latin": dict(_LATIN_OF), "Greek": {}, "Cyrillic": {}}
+    """Script to spelling: Latin twins as given, and back from Latin to the other scripts."""
+    table: dict[str, dict[str, str]] = {script: {} for script in SCRIPTS} | {"Latin": dict(_LATIN_OF)}
     for twin, ascii_ in _LATIN_OF.items():
-        script = script_of(twin)
-        if script in ("Greek", "Cyrillic"):
-            table[script].setdefault(ascii_, twin)
-    for ascii_, twins in TWINS.items():
+        if script_of(twin) in SCRIPTS[1:]:
+            table[script_of(twin)].setdefault(ascii_, twin)
+    for twins in TWINS.values():
         for a in twins:
             for b in twins:
-                if a != b and script_of(b) in ("Greek", "Cyrillic") and script_of(a) != script_of(b):
+                if script_of(b) in SCRIPTS[1:] and script_of(a) != script_of(b):
                     table[script_of(b)].setdefault(a, b)
     return table
 
@@ -85,7 +89,7 @@ def spell(token: str) -> str:
     if not common:
         # no script spells it all: the one that letters without twins ask for, else Latin
         bound = [next(iter(s)) for s in sets if len(s) == 1]
-        foreign = [s for s in bound if s in ("Greek", "Cyrillic")]
+        foreign = [s for s in bound if s in _TWIN and s != "Latin"]
         latin = sum(ch.isascii() for ch in kept)
         common = {foreign[0]} if foreign and len(foreign) > latin else {"Latin"}
     script = "Latin" if "Latin" in common else sorted(common)[0]
@@ -112,7 +116,7 @@ def _compatible(ch: str) -> str:
         return ""
     if _KEEP.match(ch):
         return ch
-    if _ROMAN.match(ch) or "＀" <= ch <= "￯" or "\U0001d400" <= ch <= "\U0001d7ff" or unicodedata.decomposition(ch).startswith(("<wide>", "<narrow>", "<font>")) or "ﬀ" <= ch <= "ﬆ":
+    if _ROMAN.match(ch) or "＀" <= ch <= "￯" or "\U0001d400" <= ch <= "\U0001d7ff" or unicodedata.decomposition(ch).startswith(("<wide>", "<narrow>", "<font>", "<square>")) or "ﬀ" <= ch <= "ﬆ":
         plain = unicodedata.normalize("NFKC", ch)
         return "".join("-" if c in _DASH else SIGNS.get(c, c) for c in plain)
     return ch

@@ -26,6 +26,8 @@ VOCABULARY = "byte_bpe_50k"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct words remembered per worker; when full the memory starts afresh, results don't change.
 REMEMBERED = 400_000
+#: Pairs of tokens remembered per worker, likewise.
+REMEMBERED_PAIRS = 1_000_000
 
 
 class Vocabulary:
@@ -65,6 +67,8 @@ class Vocabulary:
                 known = self.merge(self.bytes[token]) == [token]
             else:
                 known = self.merge(self.bytes[before] + self.bytes[token]) == [before, token]
+            if len(self._fits) >= REMEMBERED_PAIRS:
+                self._fits.clear()
             self._fits[before, token] = known
         return known
 

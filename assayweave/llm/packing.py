@@ -5,8 +5,8 @@ rest; nothing else is cut.  Only the histogram of piece sizes, at most as long a
 capacity, goes to the driver.  There
 
 * :func:`optimal_boundaries` chooses length buckets by dynamic programming over the
-  histogram so that padding to the bucket's boundary is least, for batches of equal
-  shape, and
+  histogram so that padding to the bucket's boundary is least; with ``buckets`` given,
+  :func:`pack` forms token-budget batches inside each of them, and
 * :func:`plan_containers` fills containers across buckets: the largest size that is left
   opens a container, the space left is filled with the largest sizes that fit, and the
   same filling is repeated while the counts last.
@@ -94,9 +94,20 @@ def pieces(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> D
     return cut.select(key, "piece", start.alias("start"), F.least(F.lit(capacity), n - start).cast("int").alias("size"))
 
 
-def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+def by_bucket(histogram: dict[int, int], buckets: int | None) -> list[dict[int, int]]:
+    """The histograms of the optimal length buckets, or the whole one if there are none."""
+    if buckets is None:
+        return [histogram]
+    bounds = [0, *optimal_boundaries(histogram, buckets)]
+    return [{s: n for s, n in histogram.items() if low < s <= high} for low, high in zip(bounds, bounds[1:])]
+
+
+def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, buckets: int | None = None) -> DataFrame:
     """``key, piece, start, size, container, offset`` of ``key, n_tokens`` rows.
 
+    With ``buckets`` a container holds pieces of one of that many optimal length buckets
+    only; without, it is filled across all sizes, which leaves less space unused.
+
     ``start`` is where the piece begins in its text, ``offset`` where it lies in the
     container.  Texts without tokens need no container: both are null.  Repeated and
     tied rows get places of their own.
@@ -112,7 +123,7 @@ def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> Dat
     histogram = {int(s): int(n) for s, n in enumerate(table.sum(axis=1)) if n}
     ranks: dict[int, list[tuple[int, int, int, int]]] = {}
     used, container = dict.fromkeys(histogram, 0), 0
-    for repeats, filling in plan_containers(histogram, capacity):
+    for repeats, filling in (step for part in by_bucket(histogram, buckets) for step in plan_containers(part, capacity)):
         base = 0
         for size, k in filling:
             ranks.setdefault(size, []).append((used[size], container, k, base))
@@ -144,12 +155,16 @@ def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> Dat
     return ranked.mapInArrow(place, f"{key} {kind}, piece int, start long, size int, container long, offset long")
 
 
-def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, folder: str = TOKENIZER_DIR, name: str = VOCABULARY) -> DataFrame:
+def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, folder: str = TOKENIZER_DIR, name: str = VOCABULARY, buckets: int | None = None) -> DataFrame:
     """Documents packed by their token counts."""
-    return pack(count_tokens(documents, key, text, folder, name), key, capacity)
+    return pack(count_tokens(documents, key, text, folder, name), key, capacity, buckets)
+
+
+#: Length buckets of the queries.
+BUCKETS = 16
 
 
-def bucket_report(sizes: DataFrame, capacity: int = CAPACITY, buckets: int = 16) -> DataFrame:
+def bucket_report(sizes: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -> DataFrame:
     """``upper, pieces, tokens, padding, batches`` of the optimal length buckets."""
     spark = sizes.sparkSession
     cut = pieces(sizes.select(F.lit(0).alias("doc_id"), "n_tokens"), capacity=capacity)

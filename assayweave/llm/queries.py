@@ -61,6 +61,16 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill_report(packing.pack_documents(table(spark, folder, "documents")))
 
 
+def p8_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces in token-budget batches that form inside the optimal length buckets."""
+    return packing.pack_documents(table(spark, folder, "documents"), buckets=packing.BUCKETS)
+
+
+def p8_batch_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full these batches are."""
+    return packing.fill_report(p8_batches(spark, folder))
+
+
 def p8_buckets(spark: SparkSession, folder: str) -> DataFrame:
     """The optimal length buckets and their padding."""
     return packing.bucket_report(tokens.count_tokens(table(spark, folder, "documents")))
@@ -86,6 +96,8 @@ QUERIES: dict[str, Query] = {
     "p7_ids": p7_ids,
     "p8_pack": p8_pack,
     "p8_fill": p8_fill,
+    "p8_batches": p8_batches,
+    "p8_batch_fill": p8_batch_fill,
     "p8_buckets": p8_buckets,
     "p9_found": p9_found,
     "p9_restored": p9_restored,

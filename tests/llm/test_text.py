@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -215,3 +216,37 @@ def test_words_of_long_chains_are_looked_at():
     assert "|sŽlectivitŽ|" in encoding_repair.contexts(f"a {chain}, b")
     fixed = encoding_repair.replace_words(f"a {chain}, b", {"|sŽlectivitŽ|": "sélectivité"})
     assert fixed == f"a {chain}, b".replace("Ž", "é")
+
+
+def test_damage_in_any_number_of_layers(spark):
+    text = "für Käse naïve"
+    for _ in range(6):
+        text = text.encode().decode("cp1252")
+    assert encoding_repair.repair_multibyte(text) == ("für Käse naïve", True)
+    df = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
+    assert [tuple(r) for r in encoding_repair.restore(df).collect()] == [(1, "für Käse naïve", True)]
+
+
+@pytest.mark.parametrize(("text", "form"), [("օne", "one"), ("Ꭺ1", "A1"), ("㎛", "µm"), ("ꓐ2", "B2"), ("ⲟne", "one"), ("ıbuprofen", "ibuprofen"), ("Կապ", "Կապ"), ("ᏣᎳᎩ", "ᏣᎳᎩ")])
+def test_more_scripts(text, form):
+    assert confusables.consistent(text) == form
+
+
+def test_the_memory_of_pairs_is_bounded(monkeypatch):
+    vocabulary = tokens.Vocabulary({bytes([b]): b for b in range(256)} | {b"ab": 256})
+    monkeypatch.setattr(tokens, "REMEMBERED_PAIRS", 3)
+    for a in b"xyzab":
+        for b in b"xyzab":
+            assert vocabulary.fits(a, b) is (bytes([a, b]) != b"ab") and len(vocabulary._fits) <= 3
+
+
+def test_batches_stay_inside_their_bucket(spark):
+    rng = np.random.default_rng(3)
+    sizes = [int(x) for x in rng.integers(0, 90, 300)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_tokens long")
+    out = packing.pack(df, capacity=64, buckets=4).toPandas()
+    bounds = packing.optimal_boundaries(out[out["size"] > 0].groupby("size").size().to_dict(), 4)
+    used = out[out["size"] > 0].assign(bucket=lambda d: np.searchsorted(bounds, d["size"]))
+    assert used.groupby("container")["bucket"].nunique().max() == 1 and used.groupby("container")["size"].sum().max() <= 64
+    assert used["size"].sum() == sum(sizes) and len(packing.by_bucket({}, 4)) == 0
+    assert packing.pack(df, capacity=64).toPandas()["container"].max() <= out["container"].max()

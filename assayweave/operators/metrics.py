@@ -9,25 +9,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def percentiles(value: Column, shares: tuple[float, ...] = (0.1, 0.5, 0.9)) -> Column:
-    """Linearly interpolated percentiles as an array."""
-    return F.percentile(value, F.array(*map(F.lit, shares)))
+def _bin(value: Column) -> Column:
+    """Bins that grow with the value: a sixteenth of an octave of its size, in ascending order; few thousands at most."""
+    size = F.when(F.abs(value) == float("inf"), 100_000).otherwise(F.floor(F.log2(F.abs(value)) * 16).cast("int") + 20_000)
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
 
 
-def upper_median(column: str) -> Column:
-    """The middle value, the upper one of two: element n // 2 of the sorted values, counted from 0.
+def order_statistics(df: DataFrame, keys: list[str], value: str, places: list[tuple[str, Column]]) -> DataFrame:
+    """``keys, n`` and for each of ``places`` (name, place from 0 as a column of ``n``) the value at that place of the sorted group.
 
-    An aggregate over value counts, combined before the shuffle; no group is gathered.
+    Exact, and no group is gathered or sorted whole: counts by bin tell in which bin each
+    place lies, and only the values of these bins, combined with their counts, are put in
+    order.  Nulls and NaN are left out; groups without a value have no row; null keys are a
+    group of their own.
     """
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, F.col(value).cast("double").alias("__v"))
+    rows = rows.withColumn("__bin", _bin(F.col("__v")))
+    whole, sofar = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("__bin")
+    bins = rows.groupBy(*keys, "__bin").agg(F.count("*").alias("__m"))
+    bins = bins.withColumn("n", F.sum("__m").over(whole)).withColumn("__before", F.sum("__m").over(sofar) - F.col("__m"))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), place.cast("long").alias("at")) for name, place in places])
+    here = F.filter(wanted, lambda w: (F.col("__before") <= w["at"]) & (w["at"] < F.col("__before") + F.col("__m")))
+    bins = bins.withColumn("__wanted", here).where(F.size("__wanted") > 0).select(*keys, F.col("__bin"), "n", "__before", "__wanted")
+    bins = bins.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__bin").alias("__b"), "n", "__before", "__wanted")
+    same = F.col("__bin") == F.col("__b")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    values = rows.groupBy(*keys, "__bin", "__v").agg(F.count("*").alias("__m")).join(bins, same)
+    inside = F.sum("__m").over(Window.partitionBy(*keys, "__bin").orderBy("__v"))
+    placed = values.withColumn("__to", F.col("__before") + inside).withColumn("__from", F.col("__to") - F.col("__m"))
+    hits = placed.select(*keys, "n", F.col("__v"), F.explode("__wanted").alias("w"), "__from", "__to").where((F.col("__from") <= F.col("w.at")) & (F.col("w.at") < F.col("__to")))
+    return hits.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("w.name") == name, F.col("__v"))).alias(name) for name, _ in places])
+
+
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """``keys, n`` and a linearly interpolated percentile for each name of ``shares``, by :func:`order_statistics`."""
+    at = {name: (F.col("n") - 1) * share for name, share in shares.items()}
+    places = [(f"__{side}_{name}", use(place)) for name, place in at.items() for side, use in (("low", F.floor), ("high", F.ceil))]
+    found = order_statistics(df, keys, value, places)
+    mixed = {name: F.col(f"__low_{name}") + (F.col(f"__high_{name}") - F.col(f"__low_{name}")) * (place - F.floor(place)) for name, place in at.items()}
+    return found.select(*keys, "n", *[c.alias(name) for name, c in mixed.items()])
 
 
 def upper_median_rows(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """:func:`upper_median` of each group without gathering the group: the row at its place."""
-    present = df.where(F.col(value).isNotNull())
-    window = Window.partitionBy(*keys)
-    placed = present.withColumn("__rn", F.row_number().over(window.orderBy(value)) - 1).withColumn("__n", F.count("*").over(window))
-    return placed.where(F.col("__rn") == F.floor(F.col("__n") / 2)).select(*keys, F.col(value).alias(name))
+    """``keys, name``: the middle value, the upper one of two: element n // 2 of the sorted values, counted from 0."""
+    return order_statistics(df, keys, value, [(name, F.floor(F.col("n") / 2))]).select(*keys, name)
 
 
 #: Bins of half a decade from 1e-3 to 1e6 nM.
@@ -172,20 +198,30 @@ def jaccard_words(a: Column, b: Column) -> Column:
     return F.when(either > 0, both / either)
 
 
-def nearest_neighbours(queries: DataFrame, base: DataFrame, key: str, vector: str, group: str, block: int = 512) -> DataFrame:
-    """``key, neighbour, similarity``: each query's most similar other row with the same ``group``, exactly.
+def nearest_neighbours(queries: DataFrame, base: DataFrame, key: str, vector: str, group: str, block: int = 2_000) -> DataFrame:
+    """``key, neighbour, similarity``: each query's most similar other row with the same ``group``, exactly; ties go to the smaller key.
 
-    Queries meet the base in salted blocks, so a large group is spread over tasks; each
-    block keeps only its best, and ties go to the smaller key.
+    Both sides of a group are cut into blocks of about ``block`` rows by its size, so a task
+    compares one block of queries with one of the base, whatever the group holds, and keeps
+    the best of each query.  Null and zero vectors have no neighbour and are none; null
+    groups match nothing.
     """
     import numpy as np
 
     kinds = f"{key} {queries.schema[key].dataType.simpleString()}, neighbour {base.schema[key].dataType.simpleString()}, similarity double"
-    parts = base.select(group, F.col(key).alias("__id"), vector).withColumn("__part", F.pmod(F.xxhash64("__id"), F.lit(8)).cast("int"))
-    asked = queries.select(group, F.col(key).alias("__id"), vector).withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(7))))
+
+    def cut(df: DataFrame, own: str, other: str, opposite: DataFrame) -> DataFrame:
+        """The rows in blocks of their side, each once for every block of the other side."""
+        parts = lambda rows, name: rows.groupBy(F.col(group).alias(f"__{name}g")).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+        rows = df.where(F.col(group).isNotNull() & F.col(vector).isNotNull()).select(F.col(group).alias("__group"), F.col(key).alias("__id"), F.col(vector).alias("__vector"))
+        sized = rows.join(parts(df, own), F.col("__group") == F.col(f"__{own}g")).join(parts(opposite, other), F.col("__group") == F.col(f"__{other}g"))
+        mine = F.pmod(F.xxhash64("__id"), F.col(own).cast("long")).cast("int")
+        return sized.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("__group", "__id", "__vector", "__q", "__p")
+
+    asked, offered = cut(queries, "__q", "__p", base), cut(base, "__p", "__q", queries)
 
     def unit(pdf: pd.DataFrame) -> np.ndarray:
-        m = np.vstack([np.asarray(v, dtype=float) for v in pdf[vector]])
+        m = np.vstack([np.asarray(v, dtype=float) for v in pdf["__vector"]])
         norm = np.linalg.norm(m, axis=1, keepdims=True)
         return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
 
@@ -194,8 +230,8 @@ def nearest_neighbours(queries: DataFrame, base: DataFrame, key: str, vector: st
             return pd.DataFrame(columns=[key, "neighbour", "similarity"])
         b = b.sort_values("__id", ignore_index=True)
         v, ids, rows = unit(b), b["__id"].to_numpy(), []
-        for at in range(0, len(a), block):
-            piece = a.iloc[at : at + block]
+        for at in range(0, len(a), 512):
+            piece = a.iloc[at : at + 512]
             s = unit(piece) @ v.T
             s[piece["__id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
             s = np.where(np.isnan(s), -np.inf, np.round(s, 12))
@@ -203,8 +239,7 @@ def nearest_neighbours(queries: DataFrame, base: DataFrame, key: str, vector: st
             rows += [(own, ids[k], float(x)) for own, k, x in zip(piece["__id"], j, s[np.arange(len(j)), j]) if np.isfinite(x)]
         return pd.DataFrame(rows, columns=[key, "neighbour", "similarity"])
 
-    found = asked.groupBy(group, "__part").cogroup(parts.groupBy(group, "__part")).applyInPandas(best, kinds)
-    top = found.groupBy(key).agg(F.max(F.struct("similarity", (-F.col("neighbour")).alias("m"))).alias("b"))
-    return top.select(key, (-F.col("b.m")).alias("neighbour"), F.col("b.similarity").alias("similarity"))
-
-
+    same = ["__group", "__q", "__p"]
+    found = asked.groupBy(*same).cogroup(offered.groupBy(*same)).applyInPandas(best, kinds)
+    top = found.groupBy(key).agg(F.min(F.struct((-F.col("similarity")).alias("s"), "neighbour")).alias("b"))
+    return top.select(key, F.col("b.neighbour").alias("neighbour"), (-F.col("b.s")).alias("similarity"))

@@ -85,12 +85,11 @@ def potency_summary(rows: DataFrame, keys: list[str], most: int = 10) -> DataFra
     All matching rows enter the percentiles.
     """
     exact = rows.where(usable(True) & (F.col("value_nm") > 0))
-    stats = exact.groupBy(*keys).agg(F.count("*").alias("n"), metrics.percentiles(F.col("value_nm")).alias("q"))
+    stats = metrics.percentiles(exact, keys, "value_nm", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
     order = Window.partitionBy(*keys).orderBy("value_nm", "id")
     top = exact.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= most)
     top = top.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "id"))), lambda x: x["id"]).alias("top"))
-    same = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("p10", "p50", "p90"))]
-    return stats.join(top, keys).select(*keys, "n", *same, "top")
+    return stats.join(top, keys).select(*keys, "n", "p10", "p50", "p90", "top")
 
 
 def dataset_info(records: DataFrame, activities: DataFrame) -> DataFrame:
@@ -148,10 +147,9 @@ def compound_profile(rows: DataFrame, name: str, per_target: int = 5) -> DataFra
     hits = rows.where((paper & F.contains(label, F.lit(text))) | (~paper & ((label == text) | (molecule == text))))
     exact = usable(True)
     hits = hits.withColumns({"__paper": F.when(paper & exact, F.col("value_nm")), "__database": F.when(~paper & exact, F.col("value_nm"))})
-    stats = hits.groupBy("target").agg(
-        F.count_if(paper).alias("paper_values"), F.count_if(~paper).alias("database_values"),
-        metrics.upper_median("__paper").alias("paper_median"), metrics.upper_median("__database").alias("database_median"),
-    )
+    stats = hits.groupBy("target").agg(F.count_if(paper).alias("paper_values"), F.count_if(~paper).alias("database_values"))
+    for column, median in (("__paper", "paper_median"), ("__database", "database_median")):
+        stats = stats.join(metrics.upper_median_rows(hits, ["target"], column, median), "target", "left")
     order = Window.partitionBy("target", "source").orderBy(F.coalesce("value_nm", F.lit(0.0)), "id")
     shown = hits.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_target)
     shown = shown.groupBy("target").agg(F.array_sort(F.collect_list(F.struct("source", "rn", "id"))).alias("e"))

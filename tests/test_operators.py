@@ -121,7 +121,6 @@ def test_name_segments_and_suffixes(spark):
 def test_medians_and_histogram(spark):
     df = spark.createDataFrame([("a", v) for v in (8.0, 2.0, 4.0, 6.0)] + [("b", v) for v in (9.0, 1.0, 3.0)], "k string, v double")
     assert {r["k"]: r["m"] for r in metrics.upper_median_rows(df, ["k"], "v", "m").collect()} == {"a": 6.0, "b": 3.0}
-    assert {r["k"]: r["m"] for r in df.groupBy("k").agg(metrics.upper_median("v").alias("m")).collect()} == {"a": 6.0, "b": 3.0}
     bins = spark.createDataFrame([(1e-9,), (1.0,), (1e9,)], "v double").select(metrics.log_bin(F.col("v")).alias("b")).collect()
     assert [r["b"] for r in bins] == [1, 7, 18]
     assert metrics.histogram(df, ["k"], "v").count() == 0
@@ -337,3 +336,37 @@ def test_name_segments_of_every_mention(spark):
     df = spark.createDataFrame([(text, "5a"), ("none here", "5a"), (None, "5a")], "t string, l string")
     got = [r["s"] for r in df.select(enrich.all_name_segments(F.col("t"), F.col("l")).alias("s")).collect()]
     assert got == [["4-aminobenzoic acid", "then 2-chloro\nphenol ester"], [], None]
+
+
+def test_percentiles_against_brute_force(spark):
+    rng = random.Random(6)
+    groups = {g: [rng.choice([0.0, -1.5, 7.0, 1e-300, -1e300, rng.gauss(0, 1) * 10 ** rng.randint(-6, 6)]) for _ in range(n)] for g, n in (("a", 1), ("b", 2), ("c", 57), (None, 10), ("hot", 500))}
+    groups["inf"] = [float("inf"), 1.0, float("-inf"), 2.0, 3.0]
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("a", None), ("c", float("nan")), ("none", None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: (r["n"], r["p10"], r["p50"]) for r in metrics.percentiles(df, ["k"], "v", {"p10": 0.1, "p50": 0.5}).collect()}
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        if g == "inf":
+            assert got[g][2] == 2.0
+            continue
+        ordered = sorted(values)
+        for share, mine in ((0.1, got[g][1]), (0.5, got[g][2])):
+            at = (len(ordered) - 1) * share
+            low, high = ordered[int(at)], ordered[min(len(ordered) - 1, int(at) + (at != int(at)))]
+            assert mine == pytest.approx(low + (high - low) * (at - int(at)), rel=1e-12, abs=1e-300)
+        assert got[g][0] == len(values)
+    medians = {r["k"]: r["m"] for r in metrics.upper_median_rows(df, ["k"], "v", "m").collect()}
+    assert medians == {g: sorted(v)[len(v) // 2] for g, v in groups.items()}
+
+
+def test_neighbours_with_text_keys_and_blocks(spark):
+    rng = random.Random(9)
+    rows = [(f"k{n}", [rng.random() for _ in range(3)], "g" if n < 50 else "h") for n in range(60)] + [("zero", [0.0, 0.0, 0.0], "g"), ("null", None, "g"), ("alone", [1.0, 0.0, 0.0], "i"), ("nogroup", [1.0, 0.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "id string, v array<double>, g string")
+    got = {r["id"]: r["neighbour"] for r in metrics.nearest_neighbours(df, df, "id", "v", "g", block=9).collect()}
+    cosine = lambda a, b: round(sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5, 12)
+    real = [r for r in rows[:60]]
+    want = {i: min((-cosine(v, w), j) for j, w, h in real if h == g and j != i)[1] for i, v, g in real}
+    assert got == want

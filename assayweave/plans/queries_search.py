@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayweave.functions import parsing, scalars
-from assayweave.operators import classify, enrich, metrics, search
+from assayweave.operators import classify, enrich, evaluate, metrics, search
 from assayweave.sources import writers
 from assayweave.sources.tables import table
 
@@ -220,7 +220,7 @@ def q_union_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of two sources side by side."""
     a = table(spark, folder, "records").select("target_key", F.lit("records").alias("source"))
     b = table(spark, folder, "llm_extract").select("target_key", F.lit("llm_extract").alias("source"))
-    return a.unionByName(b).groupBy("target_key", "source").agg(F.count("*").alias("n"))
+    return evaluate.method_pool(a, b, "hybrid").groupBy("target_key", "source").agg(F.count("*").alias("n"))
 
 
 @query("SELECT pmcid FROM articles WHERE pmcid IS NOT NULL EXCEPT SELECT pmcid FROM records")

@@ -102,4 +102,15 @@ QUERIES: dict[str, Query] = {
     "p9_found": p9_found,
     "p9_restored": p9_restored,
 }
-SQL: dict[str, str] = {}
+_KEY = "CASE WHEN {0} <> '' THEN '{0}=' || {0} END"
+SQL: dict[str, str] = {
+    # a plain transitive closure over the links of each row to the least row of each of its keys
+    "p5_found": (
+        "WITH RECURSIVE r AS (SELECT DISTINCT release_id AS id, CASE lower(trim(split)) WHEN 'val' THEN 'valid' WHEN '' THEN NULL ELSE lower(trim(split)) END AS split, "
+        f"unnest([{_KEY.format('pmcid')}, {_KEY.format('author_id')}, CASE WHEN scaffold <> 'acyclic' THEN {_KEY.format('scaffold')} END, {_KEY.format('inchikey')}]) AS k FROM release_papers WHERE release_id IS NOT NULL), "
+        "m AS (SELECT k, min(id) AS least FROM r WHERE k IS NOT NULL GROUP BY 1), e AS (SELECT DISTINCT id AS a, least AS b FROM r JOIN m USING (k) WHERE id <> least), "
+        "l AS (SELECT a, b FROM e UNION SELECT b, a FROM e), c AS (SELECT DISTINCT id, id AS root FROM r UNION SELECT l.b AS id, c.root FROM c JOIN l ON c.id = l.a), "
+        "g AS (SELECT id, min(root) AS component FROM c GROUP BY 1), s AS (SELECT DISTINCT id, split, component FROM r JOIN g USING (id) WHERE split IS NOT NULL) "
+        "SELECT DISTINCT id AS release_id FROM s WHERE component IN (SELECT component FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1)"
+    ),
+}

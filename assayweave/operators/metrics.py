@@ -119,30 +119,61 @@ def grouped_metrics(df: DataFrame, keys: list[str], y: str, pred: str, least: in
     return df.groupBy(*keys).agg(*error_metrics(F.col(y), F.col(pred))).where(F.col("n") >= least)
 
 
-def poisson_bootstrap(df: DataFrame, row_key: str, y: str, pred: str, replicates: int = 200, level: float = 0.95, seed: int = 0) -> DataFrame:
-    """``rmse, low, high``: percentile interval of the RMSE over hashed Poisson resamples.
+def resampled(rows: DataFrame, row_key: str, replicates: int, seed: int = 0) -> DataFrame:
+    """``rows`` with ``rep`` and ``w``: how often each row is in each replicate of a Poisson bootstrap, 0 left out.
 
-    Each row weighs in each replicate by a Poisson(1) number drawn from a hash of its key,
-    so the result depends neither on the partitioning nor on the order.  Rows are expanded
-    and pre-aggregated to one row a replicate and task.
+    The Poisson(1) number is drawn from a hash of the row's key, so the result depends
+    neither on the partitioning nor on the order.
     """
-    square = (F.col(pred) - F.col(y)) ** 2
-    rows = df.select(F.col(row_key).alias("k"), square.alias("s")).where(F.col("s").isNotNull())
     spread = rows.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    uniform = F.pmod(F.xxhash64("k", "rep", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
-    # Poisson(1) by inversion, cut where the tail is below 1e-9
-    cumulative, weight = 0.0, F.lit(12)
-    steps = []
+    uniform = F.pmod(F.xxhash64(row_key, "rep", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
+    # by inversion, cut where the tail is below 1e-9
+    cumulative, steps, weight = 0.0, [], F.lit(12)
     for n in range(12):
         cumulative += math.exp(-1) / math.factorial(n)
         steps.append((n, cumulative))
     for n, c in reversed(steps):
         weight = F.when(uniform < c, n).otherwise(weight)
-    per = spread.withColumn("w", weight).groupBy("rep").agg(F.sqrt(F.sum(F.col("s") * F.col("w")) / F.sum("w")).alias("r"))
+    return spread.withColumn("w", weight).where(F.col("w") > 0)
+
+
+def _interval(per: DataFrame, value: str, level: float) -> DataFrame:
+    """``low, high`` of one value a replicate."""
     tail = (1 - level) / 2
-    interval = per.agg(F.percentile("r", F.array(F.lit(tail), F.lit(1 - tail))).alias("q"))
-    point = rows.agg(F.sqrt(F.avg("s")).alias("rmse"))
-    return point.crossJoin(F.broadcast(interval)).select("rmse", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high"))
+    found = per.agg(F.percentile(value, F.array(F.lit(tail), F.lit(1 - tail))).alias("q"))
+    return found.select(F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high"))
+
+
+def poisson_bootstrap(df: DataFrame, row_key: str, y: str, pred: str, replicates: int = 200, level: float = 0.95, seed: int = 0) -> DataFrame:
+    """``rmse, low, high``: percentile interval of the RMSE over hashed Poisson resamples, pre-aggregated to one row a replicate and task."""
+    square = (F.col(pred) - F.col(y)) ** 2
+    rows = df.select(F.col(row_key).alias("k"), square.alias("s")).where(F.col("s").isNotNull())
+    per = resampled(rows, "k", replicates, seed).groupBy("rep").agg(F.sqrt(F.sum(F.col("s") * F.col("w")) / F.sum("w")).alias("r"))
+    return rows.agg(F.sqrt(F.avg("s")).alias("rmse")).crossJoin(F.broadcast(_interval(per, "r", level)))
+
+
+def spearman_bootstrap(df: DataFrame, row_key: str, group: list[str], y: str, pred: str, replicates: int = 300, least: int = 5, level: float = 0.95, seed: int = 0) -> DataFrame:
+    """``low, high``: percentile interval of the rank correlation within groups, weighted by their size.
+
+    In each replicate a row counts as often as it is drawn: ties share their mean rank, and
+    groups with fewer than ``least`` drawn rows or a constant side are left out.
+    """
+    rows = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull()).select(*group, F.col(row_key).alias("k"), F.col(y).alias("__y"), F.col(pred).alias("__p"))
+    for name in group:
+        rows = rows.where(F.col(name).isNotNull())
+    by = ["rep", *group]
+
+    def rank(value: str) -> Column:
+        ties = F.sum("w").over(Window.partitionBy(*by, value))
+        return F.sum("w").over(Window.partitionBy(*by).orderBy(value)) - (ties - 1) / 2
+
+    drawn = resampled(rows, "k", replicates, seed).select(*by, "w", rank("__y").alias("a"), rank("__p").alias("b"))
+    w, a, b = F.col("w"), F.col("a"), F.col("b")
+    sums = {"n": w, "sa": w * a, "sb": w * b, "saa": w * a * a, "sbb": w * b * b, "sab": w * a * b}
+    per = drawn.groupBy(*by).agg(*[F.sum(x).cast("double").alias(name) for name, x in sums.items()])
+    left, right = (F.col("n") * F.col(f"s{x}{x}") - F.col(f"s{x}") ** 2 for x in "ab")
+    kept = per.where((F.col("n") >= least) & (left > 1e-9) & (right > 1e-9)).withColumn("r", (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(left * right))
+    return _interval(kept.groupBy("rep").agg((F.sum(F.col("r") * F.col("n")) / F.sum("n")).alias("rho")), "rho", level)
 
 
 def task_mean_baseline(train: DataFrame, test: DataFrame, task: str, y: str) -> DataFrame:

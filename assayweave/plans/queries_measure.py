@@ -361,10 +361,16 @@ def q_noise_floor(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def q_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
-    """Bootstrap interval of the RMSE (A15); that of the rank correlation within series is not built."""
+    """Bootstrap interval of the RMSE."""
     return metrics.poisson_bootstrap(_predictions(spark, folder), "release_id", "y", "pred", replicates=1000)
 
 
+@query()
+def q_bootstrap_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Bootstrap interval of the rank correlation within papers and targets."""
+    return metrics.spearman_bootstrap(_predictions(spark, folder), "release_id", ["pmcid", "target_key"], "y", "pred", replicates=300)
+
+
 @query(f"WITH {LATEST} SELECT target_key, molecule_id, CAST(round(CAST(median(p) AS DECIMAL(18, 6)), 3) AS double) AS p, count(*) AS n, min(nullif(pub_year, 0)) AS year FROM (SELECT *, round(9 - log10(normalized_value_nm), 3) AS p FROM a0 WHERE normalized_value_nm > 0 AND validity IS NULL AND replace(coalesce(relation, '='), '''', '') = '=') GROUP BY ALL")
 def q_training_table(spark: SparkSession, folder: str) -> DataFrame:
     """Training rows: median, count and earliest year of each molecule and task."""

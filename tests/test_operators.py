@@ -370,3 +370,33 @@ def test_neighbours_with_text_keys_and_blocks(spark):
     real = [r for r in rows[:60]]
     want = {i: min((-cosine(v, w), j) for j, w, h in real if h == g and j != i)[1] for i, v, g in real}
     assert got == want
+
+
+def test_bootstrap_of_rank_correlations_against_brute_force(spark):
+    rng = random.Random(12)
+    rows = [(n, f"g{n % 4}", float(rng.randint(0, 6)), float(rng.randint(0, 6))) for n in range(40)] + [(99, None, 1.0, 2.0), (98, "g1", None, 1.0)]
+    df = spark.createDataFrame(rows, "k int, g string, y double, p double")
+    weights = {}
+    for r in metrics.resampled(df.select("k"), "k", 30).collect():
+        weights.setdefault(r["rep"], {})[r["k"]] = r["w"]
+
+    def ranks(values):
+        ordered = sorted(values)
+        return [ordered.index(v) + (ordered.count(v) + 1) / 2 for v in values]
+
+    found = []
+    for drawn in weights.values():
+        total = size = 0
+        for g in ("g0", "g1", "g2", "g3"):
+            pairs = [(y, p) for k, h, y, p in rows if h == g and y is not None for _ in range(drawn.get(k, 0))]
+            if len(pairs) < 5 or len({y for y, _ in pairs}) < 2 or len({p for _, p in pairs}) < 2:
+                continue
+            a, b = ranks([y for y, _ in pairs]), ranks([p for _, p in pairs])
+            m, n = sum(a) / len(a), sum(b) / len(b)
+            r = sum((x - m) * (z - n) for x, z in zip(a, b)) / (sum((x - m) ** 2 for x in a) * sum((z - n) ** 2 for z in b)) ** 0.5
+            total, size = total + r * len(pairs), size + len(pairs)
+        found.append(total / size)
+    found.sort()
+    at = lambda share: found[int((len(found) - 1) * share)] + (found[min(len(found) - 1, int((len(found) - 1) * share) + 1)] - found[int((len(found) - 1) * share)]) * ((len(found) - 1) * share % 1)
+    got = metrics.spearman_bootstrap(df, "k", ["g"], "y", "p", replicates=30).first()
+    assert (got["low"], got["high"]) == (pytest.approx(at(0.025)), pytest.approx(at(0.975)))

@@ -6,7 +6,9 @@ The pages' rows come out as JSON text; a page names its rows and the next cursor
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import time
 import urllib.error
 import urllib.request
@@ -28,6 +30,27 @@ def fetch(url: str, tries: int = 4, wait: float = 1.0, get: Callable[[str], byte
     raise AssertionError
 
 
+def cached_fetch(url: str, path: str, sha256: str | None = None, **how) -> bytes:
+    """The body of a url, kept in a file beside its use.
+
+    A kept file is taken as it is if its SHA-256 is the stated one, or if none is stated.
+    Else the url is read again; a body with another hash than the stated one is refused and
+    leaves the kept file as it was.
+    """
+    if os.path.exists(path):
+        with open(path, "rb") as kept:
+            body = kept.read()
+        if sha256 is None or hashlib.sha256(body).hexdigest() == sha256.lower():
+            return body
+    body = fetch(url, **how)
+    if sha256 is not None and hashlib.sha256(body).hexdigest() != sha256.lower():
+        raise ValueError(f"{url} has changed")
+    with open(f"{path}.part", "wb") as new:
+        new.write(body)
+    os.replace(f"{path}.part", path)
+    return body
+
+
 def pages(url: str, ids: str, rows: str, cursor: str, get: Callable[[str], bytes] | None = None, wait: float = 1.0) -> Iterator[dict]:
     """Rows of all pages of one batch of ids, following the cursor until there is none."""
     at = ""

@@ -162,3 +162,33 @@ def test_snapshot_stores_contexts_once_an_article(spark, tmp_path):
     writers.write_snapshot(records, articles, spark.createDataFrame([("P", "T"), ("P", "X")], "pmcid string, table_id string"), str(tmp_path / "s"))
     assert {(r["pmcid"], tuple(r["assay_context"])) for r in spark.read.json(str(tmp_path / "s/articles")).collect()} == {("P", ("m",)), ("Q", ())}
     assert "assay_context" not in spark.read.json(str(tmp_path / "s/records")).columns and spark.read.json(str(tmp_path / "s/tables")).count() == 1
+
+
+def test_cached_fetch_is_verified(tmp_path):
+    body, path = b"one", str(tmp_path / "a.xml")
+    mark = hashlib.sha256(body).hexdigest()
+    calls = []
+
+    def get(answer):
+        return lambda url: calls.append(url) or answer
+
+    assert paged_api.cached_fetch("u", path, mark, get=get(body)) == body and paged_api.cached_fetch("u", path, mark, get=get(b"two")) == body and len(calls) == 1
+    with pytest.raises(ValueError):
+        paged_api.cached_fetch("u", path, hashlib.sha256(b"else").hexdigest(), get=get(b"two"))
+    assert paged_api.cached_fetch("u", path, get=get(b"two")) == body and len(calls) == 2
+    assert paged_api.cached_fetch("v", str(tmp_path / "b"), get=get(b"two")) == b"two"
+
+
+def test_commands(spark, tmp_path, monkeypatch):
+    from assayweave import __main__ as commands
+
+    monkeypatch.setattr(commands, "build_session", lambda: spark)
+    spark.createDataFrame([("P", "T", "reviewed"), ("Q", "U", "unreviewed")], "pmcid string, table_id string, review_status string").write.parquet(str(tmp_path / "r"))
+    spark.createDataFrame([("P",), ("Q",)], "pmcid string").write.parquet(str(tmp_path / "a"))
+    spark.createDataFrame([("P", "T"), ("Q", "U")], "pmcid string, table_id string").write.parquet(str(tmp_path / "t"))
+    assert commands.main(["site", *(str(tmp_path / x) for x in "rat"), str(tmp_path / "s")]) == 0
+    assert [r["pmcid"] for r in spark.read.json(str(tmp_path / "s/articles")).collect()] == ["P"]
+    entry = {"pmcid": "PMC1", "filename": "a.xml", "sha256": hashlib.sha256(b"x").hexdigest()}
+    monkeypatch.setattr(paged_api, "fetch", lambda url, **how: b"x" if url == "http://h/PMC1" else b"")
+    assert commands.main(["fetch", write(tmp_path / "m.json", [entry]), "http://h/{pmcid}", str(tmp_path)]) == 0 and (tmp_path / "a.xml").read_bytes() == b"x"
+    assert commands.main([]) == 2

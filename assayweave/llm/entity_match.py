@@ -169,7 +169,7 @@ def record_entities(rows: DataFrame, quantities: DataFrame) -> DataFrame:
         "id", "pub", F.col("target_key").alias("target"), measurement_kind(F.col("measurement_type")).alias("kind"), F.col("pub_year").alias("year"), "compound_label",
         F.when(number > 0, number).alias("number"), F.when(nm > 0, nm).alias("nm"),
     )
-    named = _with_names(shaped, "compound_label").drop("compound_label")
+    named = settle(_with_names(shaped, "compound_label").drop("compound_label"), "named")  # read twice
     # what the paper calls 26b in one place is named beside the number in another
     alias = named.where(F.col("local").isNotNull() & (F.size("names") > 0)).select("pub", "local", F.explode("names").alias("n"))
     alias = alias.groupBy("pub", "local").agg(F.collect_set("n").alias("more")).withColumnRenamed("pub", "__pub").withColumnRenamed("local", "__local")
@@ -186,7 +186,7 @@ def activity_entities(rows: DataFrame, quantities: DataFrame) -> DataFrame:
         F.col("pub_year").alias("year"), "pref_name", F.when(F.col("value_num") > 0, F.col("value_num")).alias("number"), F.when(F.col("nm") > 0, F.col("nm")).alias("nm"),
         (F.coalesce(F.col("scale"), F.lit("")) == "log").alias("logs"),
     )
-    named = _with_names(shaped, "pref_name").drop("pref_name")
+    named = settle(_with_names(shaped, "pref_name").drop("pref_name"), "named")  # read three times
     # the same molecule is named in some of its rows and not in others
     known = named.where(F.col("molecule").isNotNull()).select("molecule", F.explode("names").alias("n")).groupBy("molecule").agg(F.collect_set("n").alias("more"))
     paper = named.where(F.col("molecule").isNotNull() & F.col("local").isNotNull()).groupBy("pub", "molecule").agg(F.min("local").alias("__local"))

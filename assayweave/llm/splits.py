@@ -6,10 +6,11 @@ edges from each row to the least row of each of its keys; every step writes its
 to the shared folder.  What joins the members of a key or hub with its least one is split:
 keys with more than :data:`HOT` members, of which there can be few, are broadcast.
 
-The allocation bundles components by size and label profile, sends the rows of the
-profiles to the splits by a min-cost flow with quotas and deviation costs, shares each
-bundle out as its profile's flow goes, rounds to whole components, and picks the members
-of each bundle by a hash.
+The allocation pools the profiles that can flow alike, bundles components by size and pool,
+sends the rows of the pools to the splits by a min-cost flow with quotas and deviation costs,
+shares each bundle out as its pool's flow goes, and rounds to whole components.  Inside a
+bundle the splits alternate along its components, those of one profile side by side and in
+the order of a hash, so every profile, however many there are, is shared out like its bundle.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ NOT_SHARED = {"scaffold": ("acyclic",)}
 QUOTAS = (("train", 0.8), ("valid", 0.1), ("test", 0.1))
 #: Members from which a key is joined by broadcast; there are at most so many of these keys as rows over this number.
 HOT = 500_000
-#: Members that one salt of a ranked group stands for.
+#: Members that one salt of a ranked group stands for; ranks don't depend on it.
 PER_SALT = 1_000_000
 
 
@@ -170,6 +171,11 @@ OVER_SPLIT, OVER_PROFILE = 1000, 1
 PARTS, FILLING = 8, 10
 
 
+def _largest_small(total: int, quotas: tuple[tuple[str, float], ...]) -> int:
+    """Size up to which a component fits into every split that has a quota; few components exceed it."""
+    return min((q for q in (round(total * share) for _, share in quotas) if q), default=0)
+
+
 def _shares(bundles: list[tuple[int, int, int]], quotas: tuple[tuple[str, float], ...]) -> tuple[dict[int, list[float]], dict[tuple[int, int], list[int]]]:
     """Share of each profile's rows that goes to each split, and the rows of each oversized bundle.
 
@@ -204,9 +210,9 @@ def _shares(bundles: list[tuple[int, int, int]], quotas: tuple[tuple[str, float]
         for k in fitting:
             arcs[(*name, k)] = flow.arc(node, share_of[p, k], count, 0)
 
-    small = dict(rows)
+    small, least = dict(rows), _largest_small(total, quotas)
     for s, p, n in sorted(bundles, reverse=True):
-        if s <= min(quota):
+        if s <= least:
             break
         small[p] -= s * n
         offer((s, p), p, s * n, [k for k in range(len(quotas)) if s <= quota[k]] or [max(range(len(quotas)), key=quota.__getitem__)])
@@ -251,17 +257,38 @@ def allocate(bundles: list[tuple[int, int, int]], quotas: tuple[tuple[str, float
     return out
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str], salts: int) -> DataFrame:
-    """``df`` with ``rank`` from 0 inside each group, in the order of a hash; a group is ranked in ``salts`` parts."""
-    hashed = df.withColumn("__h", F.xxhash64(*order)).withColumn("__s", F.pmod("__h", F.lit(salts)).cast("int"))
-    counts = hashed.groupBy(*group, "__s").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy(*group).orderBy("__s")) - F.col("__n")
-    firsts = counts.select(*group, "__s", before.alias("__first"))
-    inside = F.row_number().over(Window.partitionBy(*group, "__s").orderBy("__h", *order)) - 1
-    return hashed.withColumn("__r", inside).join(firsts, [*group, "__s"]).withColumn("rank", F.col("__first") + F.col("__r")).drop("__h", "__s", "__first", "__r")
+def ranked(df: DataFrame, group: list[str], order: list[str], salts: int, runs: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``rank`` from 0 inside each group, in the order of a hash, rows of equal ``runs`` side by side.
+
+    A group is ranked in ``salts`` parts, which are ranges of the hashes, so that ranks are the same for any number of them.
+    """
+    part = lambda h: F.floor((F.col(h) / 2.0**64 + 0.5) * salts)
+    hashed = df.withColumns({"__g": F.xxhash64(*group, *runs), "__h": F.xxhash64(*order)}).withColumns({"__t": part("__g"), "__s": part("__h")})
+    cells = hashed.groupBy(*group, *runs, "__g", "__t", "__s").agg(F.count("*").alias("__n"))
+    inside = F.sum("__n").over(Window.partitionBy(*group, "__t").orderBy("__g", *runs, "__s")) - F.col("__n")
+    before = F.sum("__n").over(Window.partitionBy(*group).orderBy("__t")) - F.col("__n")
+    wide = cells.groupBy(*group, "__t").agg(F.sum("__n").alias("__n")).select(*group, "__t", before.alias("__before"))
+    firsts = cells.withColumn("__inside", inside).join(wide, [*group, "__t"]).select(*group, *runs, "__s", (F.col("__before") + F.col("__inside")).alias("__first"))
+    inside = F.row_number().over(Window.partitionBy(*group, *runs, "__s").orderBy("__h", *order)) - 1
+    return hashed.withColumn("__r", inside).join(firsts, [*group, *runs, "__s"]).withColumn("rank", F.col("__first") + F.col("__r")).drop("__g", "__h", "__t", "__s", "__first", "__r")
+
+
+def alternated(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with ``split``: of each group, whose rows have ``rank`` from 0, as many rows as its ``given`` has for each of the ``names``.
+
+    Any stretch of ranks has its share of each split but for less than as many rows as there are splits.
+    """
+    until = lambda rank: F.call_function("div", rank * F.col("__take") + F.call_function("div", F.col("__of"), F.lit(2)), F.nullif(F.col("__of"), F.lit(0)))
+    df = df.withColumns({"__at": F.col("rank").cast("long"), "__of": F.aggregate("given", F.lit(0).cast("long"), lambda a, b: a + b), "split": F.lit(None).cast("string")})
+    for k, name in enumerate(names):
+        df = df.withColumn("__take", F.col("given")[k]).withColumns({"__low": until(F.col("__at")), "__high": until(F.col("__at") + 1)})
+        df = df.withColumn("split", F.when(F.col("split").isNull() & (F.col("__low") < F.col("__high")), name).otherwise(F.col("split")))
+        # the rows that are left close ranks; those that have a split no longer matter
+        df = df.withColumns({"__at": F.col("__at") - F.col("__low"), "__of": F.col("__of") - F.col("__take")})
+    return df.drop("__at", "__of", "__take", "__low", "__high")
 
 
-#: Label profiles balanced one by one, and bundles on the driver.
+#: Former limits of the profiles and bundles; nothing reads them but a test that sets them and expects no change.
 MOST_PROFILES, MOST_BUNDLES = 256, 200_000
 
 
@@ -271,34 +298,28 @@ def assign_splits(
     """``node, component, split``: an assignment of all rows that parts no component.
 
     A component's profile is the set of its ``label`` values, null and no labels being one
-    of their own.  The profiles with most rows, at most :data:`MOST_PROFILES`, are balanced one
-    by one, all others together; if even so there are more than :data:`MOST_BUNDLES` bundles,
-    all profiles together, and then there are at most as many bundles as the square root of
-    twice the rows, because so many sizes can occur.  That bounds what the driver holds.
+    of their own.  Profiles whose components all fit into every split cost the same and can
+    go the same way, so they are one pool of the flow; its cost is, but for rounding, that of
+    one node for each profile if all are shared out like the pool, as :func:`alternated` does.
+    Only a profile with a component beyond some quota is a pool of its own.  By their
+    definition there are at most as many such components as the least quota goes into all
+    rows, and of each pool at most as many sizes as the root of twice its rows: that bounds
+    what the driver holds at any size of the input, without a limit.
     """
     slim = rows.select(node, label, *keys)
     members = settle(grouped(slim, node, keys).select(node, label, "component").distinct(), "members")
     sized = members.groupBy("component").agg(F.countDistinct(node).alias("size"), F.xxhash64(F.array_sort(F.collect_set(label))).alias("profile"))
     sized = settle(sized.withColumn("size", F.greatest("size", F.lit(1))), "sized")
-    often = sized.groupBy("profile").agg(F.sum("size").alias("rows")).orderBy(F.col("rows").desc(), "profile").limit(MOST_PROFILES)
-    known = sorted(r["profile"] for r in often.collect())
-    coarse = lambda names: sized.withColumn("profile", F.when(F.col("profile").isin(names), F.col("profile")).otherwise(0)) if names else sized.withColumn("profile", F.lit(0).cast("long"))
-    kept = coarse(known)
-    if kept.select("size", "profile").distinct().count() > MOST_BUNDLES:
-        kept = coarse([])
-    counted = kept.groupBy("size", "profile").count().collect()
-    plan = allocate([(r["size"], r["profile"], r["count"]) for r in counted], quotas)
-    bounds = []
-    for (size, profile), counts in sorted(plan.items()):
-        low = 0
-        for (split, _), n in zip(quotas, counts):
-            if n:
-                bounds.append((size, profile, low, low + n, split))
-                low += n
-    table = rows.sparkSession.createDataFrame(bounds, "size long, profile long, low long, high long, split string")
+    total = sized.agg(F.sum("size").alias("n")).first()["n"] or 0
+    own = sorted(r["profile"] for r in sized.where(F.col("size") > _largest_small(total, quotas)).select("profile").distinct().collect())
+    pooled = sized.withColumn("pool", F.array_position(F.array(*map(F.lit, own)), F.col("profile")) if own else F.lit(0).cast("long"))
+    counted = pooled.groupBy("size", "pool").count().collect()
+    plan = allocate([(r["size"], r["pool"], r["count"]) for r in counted], quotas)
+    table = rows.sparkSession.createDataFrame([(*bundle, given) for bundle, given in sorted(plan.items())], "size long, pool long, given array<long>")
     salts = 1 + sum(r["count"] for r in counted) // PER_SALT
-    placed = ranked(kept, ["size", "profile"], ["component"], salts).join(table, ["size", "profile"])
-    placed = placed.where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select("component", "split")
+    # the bundles are as few as the driver holds, and one of them can have most components
+    placed = ranked(pooled, ["size", "pool"], ["component"], salts, ("profile",)).join(F.broadcast(table), ["size", "pool"])
+    placed = alternated(placed, [name for name, _ in quotas]).select("component", "split")
     both = members.select(node, "component").distinct().alias("m")
     same = F.col("m.component").eqNullSafe(F.col("p.component"))
     return both.join(placed.alias("p"), same).select(f"m.{node}", "m.component", "p.split")

@@ -125,3 +125,33 @@ def test_hot_keys_and_many_profiles_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(splits, "MOST_BUNDLES", most)
         out = splits.assign_splits(df).collect()
         assert len(out) == 600 and all(len({r["split"] for r in out if r["component"] == c}) == 1 for c in set(plain.values()))
+
+
+def test_assignment_does_not_depend_on_limits(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(n, rng.choice(["Ki", "IC50", "Kd", None]), f"p{n // rng.choice([1, 2, 3])}" if n > 60 else "big") for n in range(600)]
+    df = spark.createDataFrame(rows, "release_id long, endpoint string, pmcid string").withColumns({k: F.lit(None).cast("string") for k in splits.KEYS[1:]})
+    plain = sorted(map(tuple, splits.assign_splits(df).collect()))
+    for name, small in (("MOST_BUNDLES", 1), ("MOST_PROFILES", 2), ("PER_SALT", 40)):
+        with monkeypatch.context() as limits:
+            limits.setattr(splits, name, small, raising=False)
+            assert sorted(map(tuple, splits.assign_splits(df).collect())) == plain, name
+
+
+def test_every_profile_is_balanced_however_many_there_are(spark):
+    rows = [(n, f"e{n % 400}", "big" if n % 400 == 7 else None) for n in range(8000)]
+    df = spark.createDataFrame(rows, "release_id long, endpoint string, pmcid string").withColumns({k: F.lit(None).cast("string") for k in splits.KEYS[1:]})
+    of = {r["release_id"]: r["split"] for r in splits.assign_splits(df).collect()}
+    assert [sum(s == name for s in of.values()) for name, _ in splits.QUOTAS] == [6400, 800, 800]
+    for e in set(range(400)) - {7}:
+        got = [of[n] for n in range(e, 8000, 400)]
+        assert all(abs(got.count(name) - 20 * share) < len(splits.QUOTAS) for name, share in splits.QUOTAS), (e, got)
+
+
+def test_ranks_are_the_same_for_any_number_of_salts(spark):
+    df = spark.range(300).select((F.col("id") % 2).alias("g"), (F.col("id") % 7).alias("r"), F.col("id"))
+    ranks = [{r["id"]: (r["g"], r["r"], r["rank"]) for r in splits.ranked(df, ["g"], ["id"], salts, ("r",)).collect()} for salts in (1, 5, 90)]
+    assert ranks[0] == ranks[1] == ranks[2]
+    for g in range(2):
+        runs = [r for _, r in sorted((rank, r) for h, r, rank in ranks[0].values() if h == g)]
+        assert len(runs) == 150 and sum(a != b for a, b in zip(runs, runs[1:])) == 6
